@@ -71,7 +71,7 @@ COUNTER_EXAMPLES = [
 SLOT_RE = (
     r"\{\{[^{}\n]{0,80}\}\}|\{%[^%\n]{0,80}%\}|<%[^%\n]{0,80}%>|[$#]\{[^{}\n]{1,80}\}|\[\[[^\[\]\n]{1,80}\]\]|%%\w{2,40}%%|%[a-z][a-z_]{1,40}%|__[A-Z][A-Z0-9_]{1,40}__|\{[A-Za-z][A-Za-z0-9]*(?:[_.][A-Za-z0-9]+)+\}|\{[0-9]{1,2}\}"
     r"|\[(?:INSERT|Insert|insert|YOUR|Your|your|ADD|Add|ENTER|Enter)\b[^\[\]\n]{0,60}\]|\[[A-Z][A-Z0-9]*(?:[ _][A-Z0-9]+)*\]|\[[^\[\]\n]{0,60}(?:TBD|TODO|XXX|here)\]|\[[a-z]+(?: [a-z]+)* (?:name|date|address|number)\]"
-    r"|<(?:Your|YOUR|your|Insert|INSERT|Enter)\b[^<>\n]{0,60}>|<(?:title|TITLE|headline|name)>|\*\|[A-Z_]{2,40}\|\*|\$NaN\b|\[object Object\]"
+    r"|<(?:Your|YOUR|your|Insert|INSERT|Enter)\b[^<>\n]{0,60}>|<(?:title|TITLE|headline|name)>|\*\|[A-Z_]{2,40}\|\*|@@[A-Za-z_]{2,40}@@|<<[A-Za-z_ ]{2,40}>>|«[a-z_]{2,40}»|\{[A-Za-z]{2,30}\}|\$NaN\b|\[object Object\]"
 )
 
 
