@@ -71,3 +71,34 @@ def cores(spark: SparkSession) -> int:
 
 def env_path(name: str, default: str) -> str:
     return os.environ.get(name, default)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application; a cluster need not have it installed."""
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    here = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="corpusmill-ship-")) / "corpusmill.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(here.rglob("*.py")):
+            z.write(p, p.relative_to(here.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
+def shipped(query):  # noqa: ANN001, ANN201
+    """A query that first ships the package."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    return run
