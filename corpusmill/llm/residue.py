@@ -4,11 +4,13 @@
    An inverted index leads from a word to the exemplars that hold it; the set is a constant of this module, so every task has it.
 2. Every title and every sentence of a body is a passage window. Unfilled spots ({{name}}, ${x}, [INSERT DATE], __CITY__ ...) become one word of
    their own, <slot>; numbers other than HTTP's error codes are left out.
-3. Words weigh by inverse document frequency, counted over all records of all tables in a first pass. A window is residue if one exemplar covers at
-   least MIN_COVERAGE of the window's weight and the window at least MIN_CONTAINED of the exemplar's; exemplars of loose vocabulary (lorem
-   ipsum) need the first only, with MIN_LOOSE words. A <slot> is residue by itself. A window that a counterexample covers better is content.
+3. One pass over the texts counts in how many records each word of the exemplars stands, and keeps the windows that could be residue: those with a
+   slot, and those of whose words at least MIN_KNOWN are exemplars' words. As weights are logarithms, a window with fewer can't reach step 4's coverage.
+4. Words weigh by inverse document frequency over all records of all tables. A window is residue if one exemplar covers at least MIN_COVERAGE of
+   the window's weight and the window at least MIN_CONTAINED of the exemplar's; exemplars of loose vocabulary (lorem ipsum) need the first
+   only, with MIN_LOOSE words. A <slot> is residue by itself. A window that a counterexample covers better is content.
 
-Both passes read rows where they lie; only word counts of the exemplars' vocabulary (a constant size) are brought together, and nothing else is
+The pass reads rows where they lie; only word counts of the exemplars' vocabulary (a constant size) are brought together, and nothing else is
 shuffled but the found keys.
 
 Defined results: a null or empty title or body is no case. Whole texts are read, however long. Ties between exemplars take the first. Rows repeated
@@ -25,7 +27,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MIN_COVERAGE, MIN_CONTAINED, MIN_LOOSE = 0.72, 0.6, 3
+from corpusmill.cluster import materialize
+
+MIN_COVERAGE, MIN_CONTAINED, MIN_LOOSE, MIN_KNOWN = 0.72, 0.6, 3, 0.3
 #: The word that stands for an unfilled spot.
 SLOT = "xslotx"
 
@@ -132,23 +136,39 @@ def _batch_ids(ex: Exemplars, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     return ids[ok], of[ok], row
 
 
-def document_frequency(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """For each word of the exemplars, the records that hold it, over all rows of (text); and the number of records."""
-    n_words = len(Exemplars().vocabulary)
+_WINDOWS = "src string, rec_id bigint, window array<int>, word int, n bigint"
+
+
+def candidate_windows(records: DataFrame) -> DataFrame:
+    """Written once: (src, rec_id, window) of the windows that could be residue, as word numbers; and (word, n) of the records that hold a word, with
+    word -1 for all records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ex = Exemplars()
+        n_words = len(ex.vocabulary)
         df, n = np.zeros(n_words + 1, np.int64), 0
         for b in batches:
-            ids, of, row = _batch_ids(ex, b.column(0))
-            if len(ids):
-                df += np.bincount(np.unique(row[of] * (n_words + 1) + ids) % (n_words + 1), minlength=n_words + 1)
+            ids, of, row = _batch_ids(ex, b.column(2))
             n += b.num_rows
+            if not len(ids):
+                continue
+            df += np.bincount(np.unique(row[of] * (n_words + 1) + ids) % (n_words + 1), minlength=n_words + 1)
+            whole = np.bincount(of, minlength=len(row))
+            known = np.bincount(of, ids < n_words, minlength=len(row))
+            slotted = np.bincount(of, ids == ex.slot, minlength=len(row)) > 0
+            maybe = (whole > 0) & (slotted | (known >= MIN_KNOWN * whole))
+            kept = maybe[of]
+            sizes = whole[maybe]
+            place = pa.array(row[maybe])
+            yield pa.RecordBatch.from_pydict({
+                "src": b.column(0).take(place), "rec_id": b.column(1).take(place), "window": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids[kept], pa.int32())),
+                "word": pa.nulls(len(place), pa.int32()), "n": pa.nulls(len(place), pa.int64()),
+            })
         held = np.flatnonzero(df[:n_words])
-        yield pa.RecordBatch.from_pydict({"word": pa.array([*held, -1], pa.int32()), "n": pa.array([*df[held], n], pa.int64())})
+        words = [*held.tolist(), -1]
+        yield pa.RecordBatch.from_pydict({"src": pa.nulls(len(words), pa.string()), "rec_id": pa.nulls(len(words), pa.int64()), "window": pa.nulls(len(words), pa.list_(pa.int32())), "word": pa.array(words, pa.int32()), "n": pa.array([*df[held].tolist(), n], pa.int64())})
 
-    counts = {r[0]: r[1] for r in texts.mapInArrow(run, "word int, n bigint").groupBy("word").agg(F.sum("n")).collect()}  # at most the vocabulary's size
-    return np.array([counts.get(k, 0) for k in range(n_words)], np.float64), int(counts.get(-1, 0))
+    return materialize(records.select("src", "rec_id", "text").mapInArrow(run, _WINDOWS))
 
 
 class Scorer:
@@ -158,6 +178,12 @@ class Scorer:
         self.weight = np.append(idf, np.median(idf))
         self.mass = [self.weight[i].sum() for i in self.ex.ids]
 
+    def judge(self, window: tuple[int, ...]) -> tuple[str, float]:
+        """(kind, coverage) of a window; at once '' if the exemplars' words carry too little of its weight."""
+        known = sum(self.weight[i] for i in window if i < len(self.ex.vocabulary))
+        whole = sum(self.weight[i] for i in window)
+        return self.best(list(window)) if self.ex.slot in window or known >= MIN_COVERAGE * whole else ("", 0.0)
+
     def best(self, ids: list[int]) -> tuple[str, float]:
         """(kind, coverage) of the exemplar that covers a window best; kind is '' if none does well enough."""
         ex, w = self.ex, self.weight
@@ -186,41 +212,34 @@ class Scorer:
             best = ("slot", w[ex.slot] / whole)
         return best
 
-    def scan(self, texts: pa.Array) -> list[tuple[int, int, str, float]]:
-        """(row, window's place in its text, kind, coverage) of all residue windows."""
-        ex = self.ex
-        ids, of, row = _batch_ids(ex, texts)
-        if not len(ids):
-            return []
-        # a window can only pass if words of the vocabulary carry enough of its weight, or if it has a slot
-        known = np.bincount(of, np.where(ids < len(ex.vocabulary), self.weight[ids], 0), minlength=len(row))
-        whole = np.bincount(of, self.weight[ids], minlength=len(row))
-        slotted = np.bincount(of, ids == ex.slot, minlength=len(row)) > 0
-        maybe = (whole > 0) & (slotted | (known >= MIN_COVERAGE * whole))
-        first = np.searchsorted(row, row)
-        bounds = np.searchsorted(of, np.arange(len(row) + 1))
-        out, cache = [], {}
-        for k in np.flatnonzero(maybe):
-            key = tuple(ids[bounds[k] : bounds[k + 1]].tolist())
-            if key not in cache:
-                cache[key] = self.best(list(key))
-            kind, cover = cache[key]
-            if kind:
-                out.append((int(row[k]), int(k - first[k]), kind, float(cover)))
-        return out
-
-
-def residue_windows(records: DataFrame, df: np.ndarray, n: int) -> DataFrame:
+
+def residue_windows(records: DataFrame) -> DataFrame:
     """(src, rec_id, kind, coverage) of every residue window of (src, rec_id, text)."""
+    windows = candidate_windows(records)
+    counts = {r[0]: r[1] for r in windows.where("word is not null").groupBy("word").agg(F.sum("n")).collect()}  # at most the vocabulary's size
+    df, n = np.array([counts.get(k, 0) for k in range(len(Exemplars().vocabulary))], np.float64), int(counts.get(-1, 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(df, n)
+        cache: dict[tuple[int, ...], tuple[str, float]] = {}
         for b in batches:
-            found = scorer.scan(b.column(2))
-            rows = pa.array([f[0] for f in found], pa.int64())
-            yield pa.RecordBatch.from_pydict({"src": b.column(0).take(rows), "rec_id": b.column(1).take(rows), "kind": pa.array([f[2] for f in found], pa.string()), "coverage": pa.array([f[3] for f in found], pa.float64())})
-
-    return records.select("src", "rec_id", "text").mapInArrow(run, "src string, rec_id bigint, kind string, coverage double")
+            values, offsets = b.column(2).flatten().to_pylist(), b.column(2).offsets.to_pylist()
+            rows, kinds, covers = [], [], []
+            for i in range(b.num_rows):
+                key = tuple(values[offsets[i] - offsets[0] : offsets[i + 1] - offsets[0]])
+                if key not in cache:
+                    if len(cache) > 200_000:
+                        cache.clear()
+                    cache[key] = scorer.judge(key)
+                kind, cover = cache[key]
+                if kind:
+                    rows.append(i)
+                    kinds.append(kind)
+                    covers.append(float(cover))
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_pydict({"src": b.column(0).take(at), "rec_id": b.column(1).take(at), "kind": pa.array(kinds, pa.string()), "coverage": pa.array(covers, pa.float64())})
+
+    return windows.where("word is null").select("src", "rec_id", "window").mapInArrow(run, "src string, rec_id bigint, kind string, coverage double")
 
 
 def record_texts(df: DataFrame, src: str, key: str, title: str = "title", body: str = "body_text") -> DataFrame:
@@ -230,8 +249,7 @@ def record_texts(df: DataFrame, src: str, key: str, title: str = "title", body:
 
 def residue_records(records: DataFrame) -> DataFrame:
     """(src, rec_id) of the records that hold residue; records is (src, rec_id, text)."""
-    df, n = document_frequency(records.select("text"))
-    return residue_windows(records, df, n).select("src", "rec_id").dropDuplicates()
+    return residue_windows(records).select("src", "rec_id").dropDuplicates()
 
 
 def without_residue(df: DataFrame, src: str, key: str, found: DataFrame) -> DataFrame:
