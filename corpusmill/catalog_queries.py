@@ -63,7 +63,7 @@ def _camel(name: str) -> str:
 def _respelt(text: str) -> str:
     for k in _KEYS:
         if _camel(k) != k:
-            text = f"""replace({text}, '"{_camel(k)}"', '"{k}"')"""
+            text = f"""replace(replace({text}, '"{_camel(k)}"', '"{k}"'), '"{_camel(k)}\\"', '"{k}\\"')"""
     return text
 
 

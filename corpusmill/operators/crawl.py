@@ -60,7 +60,7 @@ def pick_by_path(df: DataFrame) -> DataFrame:
 def pick_by_text(df: DataFrame, taken: DataFrame) -> DataFrame:
     """(site, kind, url): per kind the first link whose text fits and whose address no path pick has."""
     left = df.withColumn("canon", u.canonical(F.col("url"))).join(taken.select("site", u.canonical(F.col("url")).alias("canon")).distinct(), ["site", "canon"], "left_anti")
-    rows = left.where(F.length("text").between(1, 80)).select("site", "url", "source_rank", _kinds("text", TEXT_KINDS).alias("kind"))
+    rows = left.where(F.col("url").isNotNull() & F.length("text").between(1, 80)).select("site", "url", "source_rank", _kinds("text", TEXT_KINDS).alias("kind"))
     return rows.groupBy("site", "kind").agg(F.min(F.struct("source_rank", "url")).alias("b")).select("site", "kind", F.col("b.url").alias("url"))
 
 
