@@ -97,7 +97,7 @@ with line as (
 keyed as (
   select post_id, firm, url, n, regexp_replace(regexp_replace(regexp_replace(lower(t), '[^\p{{L}}\p{{M}}]+', ' ', 'g'), '(^| )({_MONTHS})( ({_MONTHS}))*( |$)', ' ', 'g'), ' +', '', 'g') as k
   from line where regexp_matches(t, '\p{{L}}')),
-site as (select firm, count(distinct url) as urls from post_index_entry where firm is not null and body_text is not null group by firm),
+site as (select firm, count(distinct url) as urls from post_index_entry where firm is not null group by firm),
 hot as (select firm, k from keyed join site using (firm) group by firm, k, urls having count(distinct url) >= 5 and count(distinct url) >= 0.1 * urls)
 select distinct post_id, n::bigint as line_no from keyed join hot using (firm, k)"""
 

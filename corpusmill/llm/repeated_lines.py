@@ -11,7 +11,7 @@
 
 Hot sources: nothing is grouped by source alone except counters (one row per partition and source); all other groups are by (source, wording).
 
-Defined results: a null source has no site and gives no lines. A null or empty text has no lines. Documents with a null url hold repeated lines
+Defined results: a null source has no site and gives no lines. A null or empty text has no lines, but its url counts. Documents with a null url hold repeated lines
 but don't count as urls. A line of nothing but month names counts as one wording, a line without a letter never counts. Rows repeated in the
 input give one result. Extra columns are ignored by `repeated_lines` and kept by `without_repeated_lines`.
 """
@@ -43,8 +43,8 @@ def line_keys(body: Column) -> Column:
 
 def keyed(df: DataFrame, source: str, url: str, doc_id: str, body: str) -> DataFrame:
     return materialize(
-        df.where(F.col(source).isNotNull() & F.col(body).isNotNull()).select(
-            F.col(doc_id).alias("doc"), F.xxhash64(source).alias("src"), F.when(F.col(url).isNotNull(), F.xxhash64(url)).alias("url"), line_keys(F.col(body)).alias("lines")
+        df.where(F.col(source).isNotNull()).select(
+            F.col(doc_id).alias("doc"), F.xxhash64(source).alias("src"), F.when(F.col(url).isNotNull(), F.xxhash64(url)).alias("url"), line_keys(F.coalesce(F.col(body), F.lit(""))).alias("lines")
         )
     )
 

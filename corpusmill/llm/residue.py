@@ -5,7 +5,8 @@
 2. Every title and every sentence of a body is a passage window. Unfilled spots ({{name}}, ${x}, [INSERT DATE], __CITY__ ...) become one word of
    their own, <slot>; numbers other than HTTP's error codes are left out.
 3. One pass over the texts counts in how many records each word of the exemplars stands, and keeps the windows that could be residue: those with a
-   slot, and those of whose words at least MIN_KNOWN are exemplars' words. As weights are logarithms, a window with fewer can't reach step 4's coverage.
+   slot, and those of whose words at least MIN_KNOWN are exemplars' words. Weights are logarithms, none above twice the one that unknown words get,
+   so a window with fewer can't reach step 4's coverage.
 4. Words weigh by inverse document frequency over all records of all tables. A window is residue if one exemplar covers at least MIN_COVERAGE of
    the window's weight and the window at least MIN_CONTAINED of the exemplar's; exemplars of loose vocabulary (lorem ipsum) need the first
    only, with MIN_LOOSE words. A <slot> is residue by itself. A window that a counterexample covers better is content.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.cluster import materialize
 
-MIN_COVERAGE, MIN_CONTAINED, MIN_LOOSE, MIN_KNOWN = 0.72, 0.6, 3, 0.3
+MIN_COVERAGE, MIN_CONTAINED, MIN_LOOSE, MIN_KNOWN = 0.72, 0.6, 3, 0.55
 #: The word that stands for an unfilled spot.
 SLOT = "xslotx"
 
@@ -79,9 +80,15 @@ SLOT_RE = (
 )
 
 
+#: What any unfilled spot has; texts without it needn't be searched for spots.
+_SLOT_SIGN = r"[{\[<«]|%%|%[a-z]|__|@@|\*\||\$NaN"
+
+
 def _windows(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The passage windows of each text, and the row that each belongs to."""
-    t = pc.replace_substring_regex(pc.fill_null(texts, ""), SLOT_RE, f" {SLOT} ")
+    t = pc.fill_null(texts, "")
+    signs = pc.match_substring_regex(t, _SLOT_SIGN)
+    t = pc.replace_with_mask(t, signs, pc.replace_substring_regex(t.filter(signs), SLOT_RE, f" {SLOT} "))
     lines = pc.split_pattern_regex(t, r"\n+|[.?!…]+[\"”’)*_]*\s+")
     return lines.flatten(), np.repeat(np.arange(len(texts)), np.diff(lines.offsets.to_numpy()))
 
@@ -152,7 +159,9 @@ def candidate_windows(records: DataFrame) -> DataFrame:
             n += b.num_rows
             if not len(ids):
                 continue
-            df += np.bincount(np.unique(row[of] * (n_words + 1) + ids) % (n_words + 1), minlength=n_words + 1)
+            held = np.zeros((b.num_rows, n_words + 1), bool)
+            held[row[of], ids] = True
+            df += held.sum(0)
             whole = np.bincount(of, minlength=len(row))
             known = np.bincount(of, ids < n_words, minlength=len(row))
             slotted = np.bincount(of, ids == ex.slot, minlength=len(row)) > 0
@@ -175,7 +184,7 @@ class Scorer:
     def __init__(self, df: np.ndarray, n: int):
         self.ex = Exemplars()
         idf = np.log1p(n / (1.0 + df)) if n else np.ones(len(df))
-        self.weight = np.append(idf, np.median(idf))
+        self.weight = np.append(idf, max(np.median(idf), idf.max() / 2))
         self.mass = [self.weight[i].sum() for i in self.ex.ids]
 
     def judge(self, window: tuple[int, ...]) -> tuple[str, float]:
@@ -194,7 +203,7 @@ class Scorer:
                 for e in ex.holding[i]:
                     found[e] = found.get(e, 0.0) + w[i]
         covered = {e: sum(w[i] for i in ids if i in own) / whole for e, own in ((e, set(ex.ids[e])) for e in found)}
-        against = max((c for e, c in covered.items() if ex.kind[e] == "content"), default=0.0)
+        against = max((c for e, c in covered.items() if ex.kind[e] == "content" and found[e] >= MIN_CONTAINED * self.mass[e]), default=0.0)
         best = ("", 0.0)
         for e in sorted(found):
             kind, cover = ex.kind[e], covered[e]
