@@ -47,7 +47,7 @@ EXEMPLARS: dict[str, list[str]] = {
         "This is sample text", "Replace it with your own story before publishing", "Text block placeholder do not publish", "Your headline goes here", "Your text goes here",
         "I'm a paragraph", "Click here to add your own text and edit me", "Use this space to tell visitors who you are", "Feature one describe it in a sentence or two", "Feature two describe it in a sentence or two", "Feature three describe it in a sentence or two",
         "Add a short description of the service", "Sample Service Title", "Title text here subtitle text here", "Just another site built with our starter kit", "Just another site", "Placeholder text",
-        "Insert your text here", "Hello world Welcome to your first post", "Edit or delete it then start writing", "Coming soon", "This page is under construction", "Content goes here", "Heading goes here", "Image caption goes here",
+        "Insert your text here", "Hello world Welcome to your first post", "Edit or delete it then start writing", "This page is under construction", "Content goes here", "Heading goes here", "Image caption goes here",
         "Untitled", "Untitled document", "New post edit me", "Your Blog Post Title", "Sample Page", "Copy of Blog Post Template", "Blog Post Template", "Copy of template", "Sample Post", "Insert title here", "Post title", "Title goes here", "Draft do not publish",
     ],
     "rendering": [
@@ -57,8 +57,8 @@ EXEMPLARS: dict[str, list[str]] = {
         "404", "403", "500", "502", "503", "504", "Page not found", "404 Not Found", "404 page not found", "Not Found", "Error 404", "Error 500", "500 Internal Server Error", "502 Bad Gateway", "503 Service Unavailable", "504 Gateway Timeout", "403 Forbidden",
         "The upstream server returned an invalid response", "Error establishing a database connection", "The service is temporarily unavailable due to maintenance 503", "The service is temporarily unavailable due to maintenance", "Access denied", "You do not have permission to view this resource",
         "Fatal error Uncaught TypeError in srv web theme php", "Warning include header php failed to open stream in srv web index php on line", "The request took too long and was cancelled", "Retry", "Something went wrong on our end", "Please try again in a few minutes", "Something went wrong", "Oops something went wrong",
-        "Incident id", "Reference", "Hmm there is nothing at this location", "Go back to the homepage", "Sorry we looked everywhere and this address leads nowhere", "Oops That page can't be found", "That page can't be found", "It may have been moved or removed", "Try the menu above", "The page you requested could not be found", "The page you are looking for does not exist or has been moved",
-        "This account has been suspended", "Contact your hosting provider for details", "410 this content has been withdrawn by its owner", "this content has been withdrawn by its owner", "410 Gone", "This site can't be reached", "Too many requests", "Your session has expired", "Request blocked",
+        "Incident id", "Hmm there is nothing at this location", "Go back to the homepage", "Sorry we looked everywhere and this address leads nowhere", "Oops That page can't be found", "That page can't be found", "It may have been moved or removed", "Try the menu above", "The page you requested could not be found", "The page you are looking for does not exist or has been moved",
+        "This account has been suspended", "Contact your hosting provider for details", "410 this content has been withdrawn by its owner", "this content has been withdrawn by its owner", "410 Gone", "This site can't be reached", "Too many requests", "Your session has expired", "Request blocked", "Request timed out", "Nothing here", "Account suspended", "Database error", "Fatal error", "Service unavailable",
         "Page introuvable", "La page demandée n'existe pas ou a été déplacée", "Lo sentimos la página que buscas no está disponible", "Página no encontrada", "Diese Seite existiert leider nicht mehr", "Zurück zur Startseite", "Seite nicht gefunden", "Página não encontrada", "A página que você procura não existe",
     ],
     "script": [
@@ -76,12 +76,12 @@ COUNTER_EXAMPLES = [
 SLOT_RE = (
     r"\{\{[^{}\n]{0,80}\}\}|\{%[^%\n]{0,80}%\}|<%[^%\n]{0,80}%>|[$#]\{[^{}\n]{1,80}\}|\[\[[^\[\]\n]{1,80}\]\]|%%\w{2,40}%%|%[a-z][a-z_]{1,40}%|__[A-Z][A-Z0-9_]{1,40}__|\{[A-Za-z][A-Za-z0-9]*(?:[_.][A-Za-z0-9]+)+\}|\{[0-9]{1,2}\}"
     r"|\[(?:INSERT|Insert|insert|YOUR|Your|your|ADD|Add|ENTER|Enter)\b[^\[\]\n]{0,60}\]|\[[A-Z][A-Z0-9]*(?:[ _][A-Z0-9]+)*\]|\[[^\[\]\n]{0,60}(?:TBD|TODO|XXX|here)\]|\[[a-z]+(?: [a-z]+)* (?:name|date|address|number)\]"
-    r"|<(?:Your|YOUR|your|Insert|INSERT|Enter)\b[^<>\n]{0,60}>|<(?:title|TITLE|headline|name)>|\*\|[A-Z_]{2,40}\|\*|@@[A-Za-z_]{2,40}@@|<<[A-Za-z_ ]{2,40}>>|«[a-z_]{2,40}»|\{[A-Za-z]{2,30}\}|\$NaN\b|\[object Object\]"
+    r"|<(?:Your|YOUR|your|Insert|INSERT|Enter)\b[^<>\n]{0,60}>|<(?:title|TITLE|headline|name)>|\*\|[A-Z_]{2,40}\|\*|@@[A-Za-z_]{2,40}@@|&lt;[A-Za-z][A-Za-z0-9]*[_ .][A-Za-z0-9_ .]{1,40}&gt;|(?:^|\s)%[sd]\b|<<[A-Za-z_ ]{2,40}>>|«[a-z_]{2,40}»|\{[A-Za-z]{2,30}\}|\$NaN\b|\[object Object\]"
 )
 
 
 #: What any unfilled spot has; texts without it needn't be searched for spots.
-_SLOT_SIGN = r"[{\[<«]|%%|%[a-z]|__|@@|\*\||\$NaN"
+_SLOT_SIGN = r"[{\[<«]|&lt;|%%|%[a-z]|__|@@|\*\||\$NaN"
 
 
 def _windows(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
