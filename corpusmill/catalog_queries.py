@@ -12,7 +12,7 @@ from corpusmill.functions import html as hx
 from corpusmill.functions import text as tx
 from corpusmill.functions import urls as u
 from corpusmill.functions import values as v
-from corpusmill.operators import catalog, crawl, facets, nested, pages, quality, registry, search, sections
+from corpusmill.operators import catalog, crawl, documents, facets, nested, pages, quality, registry, search, sections
 from corpusmill.plans import knowledge_base as kb
 from corpusmill.sources import writers
 from corpusmill.streaming import ingest
@@ -575,7 +575,7 @@ def post_headers(spark: SparkSession, d: str) -> DataFrame:
     return df.select("post_id", tx.front_matter({"title": F.col("title"), "date": F.col("post_date")}, {"tags": F.coalesce("tags", F.array().cast("array<string>"))}).alias("header"))
 
 
-@query()
+@query(f"with {LAST_META}, c as (select firm, count(distinct url) n from post_index_entry where firm is not null group by firm) select slug, '- ' || trim(competitor) || ': ' || concat_ws(' · ', competitor_type, headquarters_state, case when aum_usd is not null then printf('$%.2fB', aum_usd / 1e9) end, case when coalesce(n, 0) = 1 then '1 post' else coalesce(n, 0) || ' posts' end) line from last left join c on slug = firm")
 def manifest_lines(spark: SparkSession, d: str) -> DataFrame:
     return writers.manifest(kb.digest(table(spark, d, "firm_metadata"), table(spark, d, "post_index_entry")))
 
@@ -603,3 +603,81 @@ def html_markdown(spark: SparkSession, d: str) -> DataFrame:
     lines = F.array_join(F.transform(F.split("body_text", "\n"), lambda x: F.concat(F.lit("<p>"), tx.html_escape(x), F.lit("</p>"))), "")
     df = table(spark, d, "page_capture").where("body_text is not null").select("page_id", F.concat(F.lit("<html><body><script>var a='</p>';</script><main><h1>"), tx.html_escape(F.coalesce("title", F.lit(""))), F.lit("</h1>"), lines, F.lit("</main></body></html>")).alias("html"))
     return hx.parsed(df, "page_id", "html").select("page_id", F.size("headings").alias("headings"), F.length("markdown").alias("chars"))
+
+
+# -- documents ----------------------------------------------------------------------------------------------------------------
+
+def _grouped(c: str) -> str:
+    return f"format('{{:,}}', {c}::bigint)"
+
+
+@query(f"select meta_id, concat_ws('; ', coalesce({_grouped('employee_count')}, '?') || ' employees', coalesce({_grouped('advisor_count')}, '?') || ' advisors', '$' || {_grouped('coalesce(aum_usd, 0)')} || ' under management', {_grouped('branch_count')} || ' branches', 'as of ' || aum_as_of) sentence from firm_metadata")
+def snapshot_sentences(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "firm_metadata").select("meta_id", documents.snapshot_sentence().alias("sentence"))
+
+
+@query(f"with {LAST_META}, c as (select firm, count(distinct url) n from post_index_entry where firm is not null group by firm) select slug, concat_ws(' · ', competitor_type, regulator, case when aum_usd is not null then printf('$%.2fB', aum_usd / 1e9) end, website, case when coalesce(n, 0) = 1 then '1 post' else coalesce(n, 0) || ' posts' end) facts from last left join c on slug = firm")
+def firm_pages(spark: SparkSession, d: str) -> DataFrame:
+    return kb.digest(table(spark, d, "firm_metadata"), table(spark, d, "post_index_entry")).select("slug", documents.firm_facts().alias("facts"))
+
+
+@query("with m as (select meta_id firm, unnest([" + ", ".join(f"{{'section': '{g}', 'dimension': '{label}', 'value': {_cell_sql(c)}}}" for g, rows in catalog.MATRIX.items() for label, c in rows.items()) + "]) x from firm_metadata) select x.section as section, x.dimension dimension, '| ' || x.section || ' / ' || x.dimension || ' | ' || string_agg(replace(x.value, '|', '\\|'), ' | ' order by firm) || ' |' line, (firm // 100)::bigint block from m group by 1, 2, firm // 100")
+def matrix_markdown(spark: SparkSession, d: str) -> DataFrame:
+    return documents.matrix_markdown(catalog.matrix(table(spark, d, "firm_metadata"), "meta_id"), F.floor(F.col("firm") / 100))
+
+
+@query()
+def page_index_documents(spark: SparkSession, d: str) -> DataFrame:
+    return documents.index_document(_index(spark, d)).select("firm", "kind", "part", F.length("document").alias("chars"))
+
+
+@query("with f as (select distinct slug from firm_metadata where slug is not null), c as (select firm, count(distinct url) n from post_index_entry where firm is not null group by firm) select count(*)::bigint firms, count(n)::bigint with_posts, coalesce(sum(n), 0)::bigint posts, count_if(n is null)::bigint without_posts from f left join c on slug = firm")
+def statistics(spark: SparkSession, d: str) -> DataFrame:
+    return documents.statistics(table(spark, d, "firm_metadata"), table(spark, d, "post_index_entry"))
+
+
+@query(f"with {LAST_META} select case when threat_level is null then 3 when threat_level = 'high' then 0 when threat_level = 'medium-high' then 1 when threat_level = 'medium' then 2 when threat_level = 'low' then 3 else 99 end::bigint rank, slug from last where slug is not null and coalesce(try_strptime(next_review_by, '%Y-%m-%d')::date < date '{TODAY}', true)")
+def stale_first(spark: SparkSession, d: str) -> DataFrame:
+    """Firms due for review, the most threatening first."""
+    due = _last_meta(spark, d).where(F.col("slug").isNotNull() & quality.is_stale(F.col("next_review_by"), TODAY))
+    return due.select(catalog.catalog_rank(F.col("threat_level")).cast("bigint").alias("rank"), "slug").orderBy("rank", "slug")
+
+
+@query("with o as (select competitor, arg_min(manual, facts_id) m, arg_min(auto_filled, facts_id) a from company_facts where competitor is not null group by competitor), n as (select competitor, arg_max(manual, facts_id) m, arg_max(auto_filled, facts_id) a from company_facts where competitor is not null group by competitor) select competitor, coalesce(o.a.sec_iapd.crd_number, case when o.a.sec_iapd is null then n.a.sec_iapd.crd_number end) crd_number, len(coalesce(n.a, o.a).footer_emails)::bigint emails, len(coalesce(o.m, n.m).leadership)::bigint leaders from n join o using (competitor)")
+def facts_again(spark: SparkSession, d: str) -> DataFrame:
+    df = table(spark, d, "company_facts").where("competitor is not null")
+    side = lambda f: df.groupBy("competitor").agg(*[f(F.struct(F.lit(1).alias("x"), F.col(c).alias(c)), "facts_id").getField(c).alias(c) for c in ("auto_filled", "manual")])
+    got = documents.facts_again(side(F.min_by), side(F.max_by))
+    return got.select("competitor", F.col("auto_filled")["sec_iapd"]["crd_number"].alias("crd_number"), F.size(F.col("auto_filled")["footer_emails"]).cast("bigint").alias("emails"), F.size(F.col("manual")["leadership"]).cast("bigint").alias("leaders"))
+
+
+@query("select firm, min(url) blog from page_capture where kind = 'blog' and firm is not null group by firm")
+def blog_addresses(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "page_capture").where("kind = 'blog' and firm is not null").groupBy("firm").agg(F.min("url").alias("blog"))
+
+
+@query("with e as (select distinct slug, related_competitors[1] r from firm_metadata where slug is not null) select r target, count(*)::bigint n from e where r is not null group by r")
+def link_targets(spark: SparkSession, d: str) -> DataFrame:
+    first = F.try_element_at("related_competitors", F.lit(1)).alias("target")
+    return table(spark, d, "firm_metadata").where("slug is not null").select("slug", first).distinct().where("target is not null").groupBy("target").agg(F.count("*").alias("n"))
+
+
+@query("select firm, kind, source, count(*)::bigint n from (select firm, lower(coalesce(nullif(kind, ''), 'unknown')) kind, 'site' source from page_capture union all select firm, 'blog_post', 'blog' from post_index_entry) group by grouping sets ((firm), (kind, source), ())")
+def page_cube(spark: SparkSession, d: str) -> DataFrame:
+    """Tallies by firm, by kind and source, and over all, from one pass."""
+    pages_ = table(spark, d, "page_capture").select("firm", F.lower(tx.or_else(F.col("kind"), "unknown")).alias("kind"), F.lit("site").alias("source"))
+    posts = table(spark, d, "post_index_entry").select("firm", F.lit("blog_post").alias("kind"), F.lit("blog").alias("source"))
+    both = pages_.unionByName(posts)
+    return both.groupingSets([[F.col("firm")], [F.col("kind"), F.col("source")], []], "firm", "kind", "source").agg(F.count("*").alias("n"))
+
+
+@query("select distinct firm from page_capture where firm is not null intersect select distinct firm from post_index_entry where firm is not null")
+def firms_on_both_sides(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "page_capture").where("firm is not null").select("firm").intersect(table(spark, d, "post_index_entry").where("firm is not null").select("firm"))
+
+
+@query("select date_trunc('hour', ts) \"hour\", event_type, count(*)::bigint n from events group by 1, 2")
+def events_by_hour(spark: SparkSession, d: str) -> DataFrame:
+    """The windowed count of the streaming part over a table at rest; an addition to the capture pipeline."""
+    got = ingest.windowed_counts(table(spark, d, "events"), "ts", "1 hour", "1 hour", "event_type")
+    return got.select(F.col("window.start").alias("hour"), "event_type", "n")

@@ -92,7 +92,7 @@ def greedy_text_picks(df: DataFrame) -> DataFrame:
                     out.append((row.site, kind, row.url))
         return pd.DataFrame(out, columns=["site", "kind", "url"])
 
-    return df.select("site", "url", "text", "source_rank").groupBy("site").applyInPandas(run, "site string, kind string, url string")
+    return df.where("url is not null").select("site", "url", "text", "source_rank").groupBy("site").applyInPandas(run, "site string, kind string, url string")
 
 
 def post_candidates(links: DataFrame) -> DataFrame:

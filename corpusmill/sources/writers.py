@@ -37,12 +37,9 @@ def post_markdown(posts: DataFrame) -> Column:
 
 
 def manifest(digest: DataFrame) -> DataFrame:
-    """(place, line): a line for each firm in order of names, with its facts."""
-    from pyspark.sql import Window
-
+    """(slug, line): a line for each firm with its facts, sorted by name over all partitions."""
     facts = tx.facts_line(F.col("competitor_type"), F.col("headquarters_state"), F.when(F.col("aum_usd").isNotNull(), tx.billions(F.col("aum_usd"))), tx.plural(F.col("posts"), "post", "posts"))
-    place = F.row_number().over(Window.orderBy(F.collate("competitor", "UNICODE"), "slug"))  # a report over the catalog's firms
-    return digest.select(place.alias("place"), F.concat(F.lit("- "), F.col("competitor"), F.lit(": "), facts).alias("line"))
+    return digest.orderBy(F.collate("competitor", "UNICODE"), "slug").select("slug", F.concat(F.lit("- "), F.trim("competitor"), F.lit(": "), facts).alias("line"))
 
 
 def bundle(docs: DataFrame, wanted: list[str]) -> DataFrame:
