@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.cluster import table
+from corpusmill.cluster import materialize, table
 from corpusmill.functions import html as hx
 from corpusmill.functions import text as tx
 from corpusmill.functions import urls as u
@@ -358,7 +358,7 @@ def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def section_search(spark: SparkSession, d: str) -> DataFrame:
     """Ranked sections with boosted fields, prefixes and misspellings."""
-    rows = kb.post_sections(table(spark, d, "post_index_entry"))
+    rows = materialize(kb.post_sections(table(spark, d, "post_index_entry")))
     hits = search.ranked(kb.section_index(rows), "benefciary form for a vet", search.clamp_k("8"), search.BOOSTS)
     return hits.join(rows.select("id", "firm", "doc", "heading", "anchor", "snippet", "words"), "id").select("id", v.rounded(F.col("score")).alias("score"), "firm", "doc", "heading", "anchor", "snippet", "words")
 

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.cluster import materialize
+
 K, B, D = 1.2, 0.7, 0.5
 PREFIX_WEIGHT, FUZZY_WEIGHT, FUZZY = 0.375, 0.45, 0.2
 #: Boosts of a section's fields.
@@ -35,8 +37,8 @@ class Index:
 
 
 def build(docs: DataFrame, key: str, fields: list[str]) -> Index:
-    """The index of (key, fields); null fields have no terms."""
-    one = docs.select(F.col(key).alias("id"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), terms(F.coalesce(F.col(f), F.lit(""))).alias("terms")) for f in fields])).alias("x")).select("id", "x.field", "x.terms")
+    """The index of (key, fields); null fields have no terms. Texts are read and split once."""
+    one = materialize(docs.select(F.col(key).alias("id"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), terms(F.coalesce(F.col(f), F.lit(""))).alias("terms")) for f in fields])).alias("x")).select("id", "x.field", "x.terms"))
     lengths = one.select("id", "field", F.size("terms").alias("len"))
     postings = one.select("id", "field", F.explode("terms").alias("term")).groupBy("term", "field", "id").agg(F.count("*").alias("tf"))
     vocabulary = postings.groupBy("term", "field").agg(F.count("*").alias("df"))
