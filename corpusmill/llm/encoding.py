@@ -64,7 +64,7 @@ BYTE = {p: {c: b for b, c in t.items()} for p, t in TABLE.items()}
 KNOWN = {c for t in TABLE.values() for c in t.values()}
 
 
-def _utf8(run: str, page: str, end: bool) -> tuple[str, float]:
+def _utf8(run: str, page: str) -> tuple[str, float]:
     """run with every UTF-8 sequence that was read as `page` decoded, and the nats by which such sequences are no chance."""
     byte, out, bonus, i = BYTE[page], [], 0.0, 0
     while i < len(run):
@@ -113,12 +113,12 @@ def decodings(run: str, cipher: str) -> list[tuple[str, float]]:
         byte, table = BYTE[read[0]], TABLE[written]
         out = "".join(table[byte[c]] if c in byte else c for c in run)
         return [(out, 0.0)] if out != run else []
-    out, bonus = _utf8(run, read[-1], True)
+    out, bonus = _utf8(run, read[-1])
     cut = [(x, 0.0) for x in _cut_off(out, read[-1])] if read[-1] in TWICE else []
     if len(read) == 2:
         if out == run:
             return []
-        again, more = _utf8(out, read[0], True)
+        again, more = _utf8(out, read[0])
         return [(again, bonus + more)] if again != out else []
     return ([(out, bonus)] if out != run else []) + [(x, bonus) for x, _ in cut]
 

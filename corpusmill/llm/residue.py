@@ -89,13 +89,17 @@ def _windows(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     t = pc.fill_null(texts, "")
     signs = pc.match_substring_regex(t, _SLOT_SIGN)
     t = pc.replace_with_mask(t, signs, pc.replace_substring_regex(t.filter(signs), SLOT_RE, f" {SLOT} "))
-    lines = pc.split_pattern_regex(t, r"\n+|[.?!…]+[\"”’)*_]*\s+")
+    lines = pc.split_pattern_regex(_lower(t), r"\n+|[.?!…]+[\"”)*_]*\s+")
     return lines.flatten(), np.repeat(np.arange(len(texts)), np.diff(lines.offsets.to_numpy()))
 
 
+def _lower(texts: pa.Array) -> pa.Array:
+    """Lower case, without apostrophes."""
+    return pc.replace_substring(pc.replace_substring(pc.utf8_lower(texts), "’", ""), "'", "")
+
+
 def _tokens(windows: pa.Array) -> pa.Array:
-    t = pc.replace_substring_regex(pc.utf8_lower(windows), r"[’']", "")
-    return pc.split_pattern_regex(t, r"[^\p{L}\p{N}]+")
+    return pc.split_pattern_regex(windows, r"[^\p{L}\p{N}]+")
 
 
 _CODES = {"403", "404", "410", "500", "502", "503", "504"}
@@ -103,12 +107,12 @@ _CODES = {"403", "404", "410", "500", "502", "503", "504"}
 
 def _solid(flat: pa.Array) -> np.ndarray:
     """Which words count: numbers don't, but for error codes."""
-    numeric = pc.and_(pc.match_substring_regex(flat, r"[0-9]"), pc.invert(pc.is_in(flat, value_set=pa.array(sorted(_CODES)))))
+    numeric = pc.and_(pc.utf8_is_decimal(flat), pc.invert(pc.is_in(flat, value_set=pa.array(sorted(_CODES)))))
     return pc.and_(pc.not_equal(flat, ""), pc.invert(numeric)).to_numpy(zero_copy_only=False)
 
 
 def _plain(text: str) -> list[str]:
-    flat = _tokens(pa.array([text])).flatten()
+    flat = _tokens(_lower(pa.array([text]))).flatten()
     return [w for w, ok in zip(flat.to_pylist(), _solid(flat), strict=True) if ok]
 
 

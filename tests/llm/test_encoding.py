@@ -58,7 +58,7 @@ def test_special_rows(spark):
 @pytest.mark.parametrize("page", e.PAGES)
 def test_utf8_round_trip(page):
     for c in "éßñ€’—Ł":
-        assert e._utf8(garble(c, "utf-8", page), page, True)[0] == c
+        assert e._utf8(garble(c, "utf-8", page), page)[0] == c
 
 
 def test_runs_cover_the_text():
