@@ -133,10 +133,10 @@ def test_sitemap(spark):
 
 
 def test_registry(spark):
-    hits = spark.createDataFrame([("1", "STARKEY & ASSOCIATES, INC.", None), ("2", "OTHER LLC", ["STARK GROUP"])], "firm_source_id string, firm_name string, firm_other_names array<string>")
-    q = spark.createDataFrame([("Starke",), ("Stark Group",), ("Nobody",)], "query string")
-    assert [(r.query, r.firm_source_id) for r in registry.best_hits(q, hits).orderBy("query").collect()] == [("Stark Group", "2"), ("Starke", "1")]
-    assert [r.query for r in registry.best_hits(q, hits, strict=True).collect()] == ["Stark Group"]
+    hits = spark.createDataFrame([("1", "MARLENE & ASSOCIATES, INC.", None), ("2", "OTHER LLC", ["MARL GROUP"])], "firm_source_id string, firm_name string, firm_other_names array<string>")
+    q = spark.createDataFrame([("Marlen",), ("Marl Group",), ("Nobody",)], "query string")
+    assert [(r.query, r.firm_source_id) for r in registry.best_hits(q, hits).orderBy("query").collect()] == [("Marl Group", "2"), ("Marlen", "1")]
+    assert [r.query for r in registry.best_hits(q, hits, strict=True).collect()] == ["Marl Group"]
 
 
 def test_filing(spark):
