@@ -95,9 +95,11 @@ def _cut_off(run: str, page: str) -> list[str]:
             found = []
             for b in FRAIL:
                 try:
-                    found.append(run[:-n] + (raw + bytes([b])).decode())
+                    whole = (raw + bytes([b])).decode()
                 except UnicodeDecodeError:
-                    pass
+                    continue
+                if whole in KNOWN:
+                    found.append(run[:-n] + whole)
             return found
     return []
 

@@ -97,15 +97,16 @@ def confirmed_lines(keys: DataFrame, min_urls: int = MIN_URLS, min_share: float
     summaries = materialize(per_doc.mapInArrow(lambda bs: summarize(bs, least), _SUMMARY))
     urls = keys.where(F.col("url").isNotNull()).select("src", "url").distinct().groupBy("src").agg(F.count("*").alias("source_urls"))
     need = F.greatest(F.lit(min_urls).cast("double"), F.col("source_urls") * min_share)
-    sources = summaries.where("key is null").groupBy("src").agg(F.sum("error").alias("error")).join(urls, "src").withColumn("need", need)
+    sources = materialize(summaries.where("key is null").groupBy("src").agg(F.sum("error").alias("error")).join(urls, "src").withColumn("need", need))
+    by_source = sized(sources)  # a row per source: a hot source's wordings stay where they are
     counted = summaries.where("key is not null").groupBy("src", "key").agg(F.sum("n").alias("n"))
-    candidates = materialize(counted.join(sources, "src").where((F.col("n") + F.col("error") >= F.col("need")) & (F.col("error") < F.col("need"))).select("src", "key"))
+    candidates = materialize(counted.join(by_source, "src").where((F.col("n") + F.col("error") >= F.col("need")) & (F.col("error") < F.col("need"))).select("src", "key"))
     open_sources = sources.where("error >= need").select("src")
     lines = keys.where(F.col("url").isNotNull()).select("src", "url", F.explode(F.array_distinct("lines")).alias("key")).where("key is not null")
     known = lines.join(sized(candidates), ["src", "key"])
     unknown = lines.join(open_sources, "src", "left_semi")
     exact = known.unionByName(unknown).distinct().groupBy("src", "key").agg(F.count("*").alias("urls"))
-    return materialize(exact.join(sources.select("src", "source_urls", "need"), "src").where("urls >= need").select("src", "key", "urls", "source_urls"))
+    return materialize(exact.join(by_source.select("src", "source_urls", "need"), "src").where("urls >= need").select("src", "key", "urls", "source_urls"))
 
 
 def repeated_lines(df: DataFrame, source: str = "firm", url: str = "url", doc_id: str = "post_id", body: str = "body_text", min_urls: int = MIN_URLS, min_share: float = MIN_SHARE) -> DataFrame:
