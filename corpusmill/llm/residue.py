@@ -34,7 +34,7 @@ MIN_COVERAGE, MIN_CONTAINED, MIN_LOOSE, MIN_KNOWN = 0.72, 0.6, 3, 0.55
 #: The word that stands for an unfilled spot.
 SLOT = "xslotx"
 
-# Residue by kind, in the wording that content systems, servers and browsers give it.
+# Residue by kind, labelled by hand; gathered from common wordings of content systems, servers and browsers and from reading the test tables.
 EXEMPLARS: dict[str, list[str]] = {
     "slot": [SLOT],
     "loose": [
