@@ -2,14 +2,17 @@
 
 1. Exemplars of residue are labelled by hand (EXEMPLARS, in five languages), and so are passages that look alike but are content (COUNTER_EXAMPLES).
    An inverted index leads from a word to the exemplars that hold it; the set is a constant of this module, so every task has it.
-2. Every title and every sentence of a body is a passage window. Unfilled spots ({{name}}, ${x}, [INSERT DATE], __CITY__ ...) become one word of
+2. Every title and every sentence of a body is a passage window; so are the parts of a title between bars, dashes with blanks and the like, where site
+   names stand, and the parts between bars of a sentence. What a colon parts is mostly one headline ('Just a moment: ...'), so there only values that
+   a program left (undefined, NaN ...) count. A part that is only a number counts in titles alone, as an error's code. Unfilled spots ({{name}}, ${x}, [INSERT DATE], __CITY__ ...) become one word of
    their own, <slot>; numbers other than HTTP's error codes are left out.
 3. One pass over the texts counts in how many records each word of the exemplars stands, and keeps the windows that could be residue: those with a
    slot, and those of whose words at least MIN_KNOWN are exemplars' words. Weights are logarithms, none above twice the one that unknown words get,
    so a window with fewer can't reach step 4's coverage.
 4. Words weigh by inverse document frequency over all records of all tables. A window is residue if one exemplar covers at least MIN_COVERAGE of
    the window's weight and the window at least MIN_CONTAINED of the exemplar's; exemplars of loose vocabulary (lorem ipsum) need the first
-   only, with MIN_LOOSE words. A <slot> is residue by itself. A window that a counterexample covers better is content.
+   only, with MIN_LOOSE words. A <slot> is residue by itself. A window that a counterexample covers better is content, and so are the parts of one
+   that a counterexample covers.
 
 The pass reads rows where they lie; only word counts of the exemplars' vocabulary (a constant size) are brought together, and nothing else is
 shuffled but the found keys.
@@ -86,11 +89,33 @@ _SLOT_SIGN = r"[{\[<«]|&lt;|%%|%[a-z]|__|@@|\*\||\$NaN"
 
 def _windows(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The passage windows of each text, and the row that each belongs to."""
+    return _split(_lower(_slotted(texts)), r"\n+|[.?!…]+[\"”)*_]*\s+")
+
+
+def _slotted(texts: pa.Array) -> pa.Array:
     t = pc.fill_null(texts, "")
     signs = pc.match_substring_regex(t, _SLOT_SIGN)
-    t = pc.replace_with_mask(t, signs, pc.replace_substring_regex(t.filter(signs), SLOT_RE, f" {SLOT} "))
-    lines = pc.split_pattern_regex(_lower(t), r"\n+|[.?!…]+[\"”)*_]*\s+")
-    return lines.flatten(), np.repeat(np.arange(len(texts)), np.diff(lines.offsets.to_numpy()))
+    return pc.replace_with_mask(t, signs, pc.replace_substring_regex(t.filter(signs), SLOT_RE, f" {SLOT} "))
+
+
+def _split(texts: pa.Array, at: str) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of each text, and the row that each belongs to."""
+    pieces = pc.split_pattern_regex(texts, at)
+    return pieces.flatten(), np.repeat(np.arange(len(texts)), np.diff(pieces.offsets.to_numpy()))
+
+
+_BAR, _DASH, _COLON = r"\s*\|\s*", r"\s+[-–—•·»/]+\s+", r":\s+"
+#: Where titles and sentences are cut into parts. The last kind of cut only shows values that a program left.
+TITLE_CUTS, SENTENCE_CUTS = {"part": f"{_BAR}|{_DASH}", "colon": f"{_BAR}|{_DASH}|{_COLON}"}, {"part": _BAR}
+
+
+def _parts(windows: pa.Array, cuts: dict[str, str], numbers: bool) -> Iterator[tuple[str, pa.Array, np.ndarray]]:
+    """(cut, parts, the window that each is of) for each kind of cut; numbers: a part without letters may be one number."""
+    for cut, at in cuts.items():
+        cuttable = np.flatnonzero(pc.match_substring_regex(windows, at).to_numpy(zero_copy_only=False))
+        parts, of = _split(windows.take(pa.array(cuttable)), at)
+        ok = pc.match_substring_regex(parts, r"\p{L}|^\s*[0-9]+\s*$" if numbers else r"\p{L}").to_numpy(zero_copy_only=False)
+        yield cut, parts.filter(pa.array(ok)), cuttable[of[ok]]
 
 
 def _lower(texts: pa.Array) -> pa.Array:
@@ -139,49 +164,78 @@ class Exemplars:
 def _batch_ids(ex: Exemplars, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word id, window) of all counting words, and the row of each window; words outside the vocabulary have id len(vocabulary)."""
     windows, row = _windows(texts)
+    return *_word_ids(ex, windows), row
+
+
+def _word_ids(ex: Exemplars, windows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     split = _tokens(windows)
     flat = split.flatten()
     of = np.repeat(np.arange(len(windows)), np.diff(split.offsets.to_numpy()))
     ok = _solid(flat)
     ids = pc.fill_null(pc.index_in(flat, value_set=ex.values), len(ex.vocabulary)).to_numpy(zero_copy_only=False).astype(np.int64)
-    return ids[ok], of[ok], row
+    return ids[ok], of[ok]
+
+
+def _maybe(ex: Exemplars, ids: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """Which of n windows could be residue."""
+    whole = np.bincount(of, minlength=n)
+    known = np.bincount(of, ids < len(ex.vocabulary), minlength=n)
+    return (whole > 0) & ((np.bincount(of, ids == ex.slot, minlength=n) > 0) | (known >= MIN_KNOWN * whole))
+
 
+def _lists_of(ids: np.ndarray, of: np.ndarray, which: np.ndarray, n: int) -> pa.Array:
+    """The word numbers of some of n windows, in the order of which."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))])
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+    return lists.take(pa.array(which))
 
-_WINDOWS = "src string, rec_id bigint, window array<int>, word int, n bigint"
+
+_WINDOWS = "src string, rec_id bigint, window array<int>, cut string, whole array<int>, word int, n bigint"
 
 
 def candidate_windows(records: DataFrame) -> DataFrame:
-    """Written once: (src, rec_id, window) of the windows that could be residue, as word numbers; and (word, n) of the records that hold a word, with
-    word -1 for all records."""
+    """Written once: (src, rec_id, window, cut, whole) of the windows that could be residue, as word numbers, for parts with the kind of cut and the
+    window they are of; and (word, n) of the records that hold a word, with word -1 for all records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ex = Exemplars()
         n_words = len(ex.vocabulary)
         df, n = np.zeros(n_words + 1, np.int64), 0
+
+        def rows(b: pa.RecordBatch, row: np.ndarray, windows: pa.Array, cut: str | None, whole: pa.Array | None) -> pa.RecordBatch:
+            place, k = pa.array(row), len(row)
+            return pa.RecordBatch.from_pydict({
+                "src": b.column(0).take(place), "rec_id": b.column(1).take(place), "window": windows, "cut": pa.array([cut] * k, pa.string()), "whole": pa.nulls(k, pa.list_(pa.int32())) if whole is None else whole,
+                "word": pa.nulls(k, pa.int32()), "n": pa.nulls(k, pa.int64()),
+            })
+
         for b in batches:
-            ids, of, row = _batch_ids(ex, b.column(2))
+            windows, row = _windows(b.column(2))
+            ids, of = _word_ids(ex, windows)
             n += b.num_rows
             if not len(ids):
                 continue
             held = np.zeros((b.num_rows, n_words + 1), bool)
             held[row[of], ids] = True
             df += held.sum(0)
-            whole = np.bincount(of, minlength=len(row))
-            known = np.bincount(of, ids < n_words, minlength=len(row))
-            slotted = np.bincount(of, ids == ex.slot, minlength=len(row)) > 0
-            maybe = (whole > 0) & (slotted | (known >= MIN_KNOWN * whole))
-            kept = maybe[of]
-            sizes = whole[maybe]
-            place = pa.array(row[maybe])
-            yield pa.RecordBatch.from_pydict({
-                "src": b.column(0).take(place), "rec_id": b.column(1).take(place), "window": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids[kept], pa.int32())),
-                "word": pa.nulls(len(place), pa.int32()), "n": pa.nulls(len(place), pa.int64()),
-            })
+            found = np.flatnonzero(_maybe(ex, ids, of, len(row)))
+            yield rows(b, row[found], _lists_of(ids, of, found, len(row)), None, None)
+            titles = _lower(_slotted(b.column(3)))
+            for wholes, row_of, cuts, numbers in ((windows, row, SENTENCE_CUTS, False), (titles, np.arange(b.num_rows), TITLE_CUTS, True)):
+                for cut, parts, whole in _parts(wholes, cuts, numbers):
+                    ids_p, of_p = _word_ids(ex, parts)
+                    found = np.flatnonzero(_maybe(ex, ids_p, of_p, len(parts)))
+                    if len(found):
+                        own = whole[found]
+                        ids_w, of_w = _word_ids(ex, wholes.take(pa.array(own)))
+                        yield rows(b, row_of[own], _lists_of(ids_p, of_p, found, len(parts)), cut, _lists_of(ids_w, of_w, np.arange(len(own)), len(own)))
         held = np.flatnonzero(df[:n_words])
         words = [*held.tolist(), -1]
-        yield pa.RecordBatch.from_pydict({"src": pa.nulls(len(words), pa.string()), "rec_id": pa.nulls(len(words), pa.int64()), "window": pa.nulls(len(words), pa.list_(pa.int32())), "word": pa.array(words, pa.int32()), "n": pa.array([*df[held].tolist(), n], pa.int64())})
+        k = len(words)
+        yield pa.RecordBatch.from_pydict({"src": pa.nulls(k, pa.string()), "rec_id": pa.nulls(k, pa.int64()), "window": pa.nulls(k, pa.list_(pa.int32())), "cut": pa.nulls(k, pa.string()), "whole": pa.nulls(k, pa.list_(pa.int32())), "word": pa.array(words, pa.int32()), "n": pa.array([*df[held].tolist(), n], pa.int64())})
 
-    return materialize(records.select("src", "rec_id", "text").mapInArrow(run, _WINDOWS))
+    title = F.col("title") if "title" in records.columns else F.lit(None).cast("string").alias("title")
+    return materialize(records.select("src", "rec_id", "text", title).mapInArrow(run, _WINDOWS))
 
 
 class Scorer:
@@ -197,17 +251,32 @@ class Scorer:
         whole = sum(self.weight[i] for i in window)
         return self.best(list(window)) if self.ex.slot in window or known >= MIN_COVERAGE * whole else ("", 0.0)
 
-    def best(self, ids: list[int]) -> tuple[str, float]:
-        """(kind, coverage) of the exemplar that covers a window best; kind is '' if none does well enough."""
+    def judge_part(self, part: tuple[int, ...], cut: str, whole: tuple[int, ...]) -> tuple[str, float]:
+        """(kind, coverage) of a part of a window."""
+        kind, cover = self.judge(part)
+        return ("", 0.0) if cut == "colon" and kind != "rendering" or kind and self.against(list(whole)) >= MIN_COVERAGE else (kind, cover)
+
+    def covered(self, ids: list[int]) -> tuple[dict[int, float], dict[int, float]]:
+        """By exemplar with a word in the window: the weight of the exemplar's words that the window holds, and the share of the window it covers."""
         ex, w = self.ex, self.weight
-        whole = sum(w[i] for i in ids)
-        found, held = {}, set(ids)
-        for i in held:
+        whole, found = sum(w[i] for i in ids), {}
+        for i in set(ids):
             if i < len(ex.vocabulary):
                 for e in ex.holding[i]:
                     found[e] = found.get(e, 0.0) + w[i]
-        covered = {e: sum(w[i] for i in ids if i in own) / whole for e, own in ((e, set(ex.ids[e])) for e in found)}
-        against = max((c for e, c in covered.items() if ex.kind[e] == "content" and found[e] >= MIN_CONTAINED * self.mass[e]), default=0.0)
+        return found, {e: sum(w[i] for i in ids if i in own) / whole for e, own in ((e, set(ex.ids[e])) for e in found)}
+
+    def against(self, ids: list[int], by: tuple[dict[int, float], dict[int, float]] | None = None) -> float:
+        """The share of a window that a counterexample covers."""
+        found, covered = by or self.covered(ids)
+        return max((c for e, c in covered.items() if self.ex.kind[e] == "content" and found[e] >= MIN_CONTAINED * self.mass[e]), default=0.0)
+
+    def best(self, ids: list[int]) -> tuple[str, float]:
+        """(kind, coverage) of the exemplar that covers a window best; kind is '' if none does well enough."""
+        ex, w = self.ex, self.weight
+        whole, held = sum(w[i] for i in ids), set(ids)
+        found, covered = self.covered(ids)
+        against = self.against(ids, (found, covered))
         best = ("", 0.0)
         for e in sorted(found):
             kind, cover = ex.kind[e], covered[e]
@@ -227,23 +296,24 @@ class Scorer:
 
 
 def residue_windows(records: DataFrame) -> DataFrame:
-    """(src, rec_id, kind, coverage) of every residue window of (src, rec_id, text)."""
+    """(src, rec_id, kind, coverage) of every residue window of (src, rec_id, text) or (src, rec_id, text, title), where text begins with the title."""
     windows = candidate_windows(records)
     counts = {r[0]: r[1] for r in windows.where("word is not null").groupBy("word").agg(F.sum("n")).collect()}  # at most the vocabulary's size
     df, n = np.array([counts.get(k, 0) for k in range(len(Exemplars().vocabulary))], np.float64), int(counts.get(-1, 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(df, n)
-        cache: dict[tuple[int, ...], tuple[str, float]] = {}
+        cache: dict[tuple, tuple[str, float]] = {}
         for b in batches:
-            values, offsets = b.column(2).flatten().to_pylist(), b.column(2).offsets.to_pylist()
+            values, offsets, cuts, wholes = b.column(2).flatten().to_pylist(), b.column(2).offsets.to_pylist(), b.column(3).to_pylist(), b.column(4)
             rows, kinds, covers = [], [], []
             for i in range(b.num_rows):
-                key = tuple(values[offsets[i] - offsets[0] : offsets[i + 1] - offsets[0]])
+                window = tuple(values[offsets[i] - offsets[0] : offsets[i + 1] - offsets[0]])
+                key = window if cuts[i] is None else (window, cuts[i], tuple(wholes[i].as_py()))
                 if key not in cache:
                     if len(cache) > 200_000:
                         cache.clear()
-                    cache[key] = scorer.judge(key)
+                    cache[key] = scorer.judge(window) if cuts[i] is None else scorer.judge_part(*key)
                 kind, cover = cache[key]
                 if kind:
                     rows.append(i)
@@ -252,16 +322,16 @@ def residue_windows(records: DataFrame) -> DataFrame:
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_pydict({"src": b.column(0).take(at), "rec_id": b.column(1).take(at), "kind": pa.array(kinds, pa.string()), "coverage": pa.array(covers, pa.float64())})
 
-    return windows.where("word is null").select("src", "rec_id", "window").mapInArrow(run, "src string, rec_id bigint, kind string, coverage double")
+    return windows.where("word is null").select("src", "rec_id", "window", "cut", "whole").mapInArrow(run, "src string, rec_id bigint, kind string, coverage double")
 
 
 def record_texts(df: DataFrame, src: str, key: str, title: str = "title", body: str = "body_text") -> DataFrame:
-    """(src, rec_id, text): the title, a break, and the body of each record."""
-    return df.select(F.lit(src).alias("src"), F.col(key).cast("bigint").alias("rec_id"), F.concat_ws("\n", F.col(title), F.col(body)).alias("text"))
+    """(src, rec_id, text, title): the title, a break, and the body of each record; and the title."""
+    return df.select(F.lit(src).alias("src"), F.col(key).cast("bigint").alias("rec_id"), F.concat_ws("\n", F.col(title), F.col(body)).alias("text"), F.col(title).alias("title"))
 
 
 def residue_records(records: DataFrame) -> DataFrame:
-    """(src, rec_id) of the records that hold residue; records is (src, rec_id, text)."""
+    """(src, rec_id) of the records that hold residue; records is (src, rec_id, text) or (src, rec_id, text, title)."""
     return residue_windows(records).select("src", "rec_id").dropDuplicates()
 
 

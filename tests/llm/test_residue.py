@@ -26,6 +26,15 @@ def test_repeated_rows_and_empty(spark):
     assert residue.residue_records(empty).count() == 0
 
 
+def test_residue_beside_other_text(spark):
+    titles = ["undefined | Holmlyn Astlyn Retirement Partners", "Holmlyn Astlyn Retirement Partners - Page not found", "404 | Holmlyn Astlyn", "Holmlyn Astlyn: NaN", "Just a Moment: Pausing Before You Sell", "Reduced fee – $6,500", "Holmlyn | Estate plans", "Not found on the statement | null", None]
+    bodies = [None] * 8 + ["Holmlyn Astlyn | Page not found\nFees | 500"]
+    prices = [(100, "Plan prices", "A bond ladder – 500\nA second mortgage | 500\nReview | $6,500")]
+    background = [(i + 1000, None, x) for i, x in enumerate(BACKGROUND)]
+    df = spark.createDataFrame([(i, t, b) for i, (t, b) in enumerate(zip(titles, bodies, strict=True))] + prices + background, "post_id int, title string, body_text string")
+    assert sorted(r[1] for r in rows(residue.residue_records(residue.record_texts(df, "posts", "post_id")))) == [0, 1, 2, 3, 8]
+
+
 def test_record_texts(spark):
     df = spark.createDataFrame([(1, None, None, "x"), (2, "Untitled", None, "x")], "post_id int, title string, body_text string, src string")
     assert rows(residue.residue_records(residue.record_texts(df, "posts", "post_id"))) == [("posts", 2)]
