@@ -46,10 +46,10 @@ PAGES = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1253", "cp437", "cp850", "m
 WRITTEN = ("cp1252", "mac_roman", "cp437", "cp850")
 TWICE = ("cp1252", "latin-1")
 OTHER_PAGE = 4.0
-#: The most iterations (they end when no more documents change than 1 in 1,000 of those found); nats that a context must gain (in the last iteration
-#: the second number), and that a document's gains must reach in the last iteration and in those before it, where only the sure ones may move the
+#: The most iterations (they end when no more documents change than 1 in 100 of those found); nats that a context must gain (by a rare
+#: page or in the last iteration the second number), and that a document's gains must reach in the last iteration and in those before it, where only the sure ones may move the
 #: bigrams; characters of a run that are looked at together.
-ROUNDS, MIN_CONTEXT, SURE_CONTEXT, MIN_GAIN, SURE_GAIN, RUN = 6, 2.5, 6.0, 3.0, 6.0, 12
+ROUNDS, MIN_CONTEXT, SURE_CONTEXT, MIN_GAIN, SURE_GAIN, RUN = 6, 4.0, 6.0, 3.0, 6.0, 12
 #: What the rules know of a table's unit is worth so many sightings; letters that only bigrams name need so many to count.
 PRIOR_COUNT, LEARNED_COUNT = 4.0, 3.0
 #: A unit that only bigrams explain stands for one letter in so many of its sightings.
@@ -292,7 +292,7 @@ def candidates(counted: DataFrame, bigrams: Bigrams, least: float = MIN_CONTEXT)
                     known[unit] = told
                 for decoded, says in known[unit].items():
                     after = lm.score(a + decoded + b)
-                    out += [(x, unit, c, decoded, after - before + bonus, 0.0) for c, bonus in says if after - before + bonus > least]
+                    out += [(x, unit, c, decoded, after - before + bonus, 0.0) for c, bonus in says if after - before + bonus > (least if names[c] == 0 else SURE_CONTEXT)]
                 if len(unit) <= UNIT:
                     out += [(x, unit, None, c, after - before, after - usual.get(c, 0.0)) for after, c in best if c != unit and after - before > least]
             yield pd.DataFrame(out, columns=["context", "unit", "cipher", "letters", "gain", "fit"])
@@ -312,38 +312,41 @@ def _sightings(n: Column) -> Column:
 def _evidence(rows: DataFrame, found: DataFrame, tables: DataFrame | None) -> DataFrame:
     """(doc, source, context, cipher, unit, letters, n, logw): each thing that a context of a document may stand for in each cluster, with the log of the
     table's weight times the bigrams' gain. tables is (source, cipher, unit, letters, seen, of_unit); without it only the rules speak."""
-    at = rows.join(sized(found.select("context").distinct()), "context", "left_semi")
-    by_rule = at.join(sized(found.where("cipher is not null")), "context")
+    n = found.count()
+    at = rows.join(sized(found.select("context"), n), "context", "left_semi")
+    by_rule = at.join(sized(found.where("cipher is not null"), n), "context")
     if tables is None:
         return by_rule.select("doc", "source", "context", "cipher", "unit", "letters", "n", F.col("gain").alias("logw"))
-    zero = F.lit(0.0)
-    side = sized(tables.select("source", "cipher", "unit", "letters", "seen"))
-    units = sized(tables.select("source", "cipher", "unit", "of_unit").distinct())
-    by_rule = by_rule.join(units, ["source", "cipher", "unit"], "left").join(side, ["source", "cipher", "unit", "letters"], "left")
-    by_rule = by_rule.select("doc", "source", "context", "cipher", "unit", "letters", "n", (F.col("gain") + F.log((F.coalesce("seen", zero) + PRIOR_COUNT) / (F.coalesce("of_unit", zero) + PRIOR_COUNT))).alias("logw"))
-    learned = sized(tables.where(f"not by_rule and seen >= {LEARNED_COUNT} and seen >= {SHARE} * of_unit"))
-    by_table = at.join(sized(found.where("cipher is null").select("context", "unit", "letters", "gain")), "context").join(learned, ["source", "unit", "letters"])
+    zero, k = F.lit(0.0), tables.count()
+    # of_unit stands in each row of a unit: once for a unit, and seen for each of its letters
+    units = sized(tables.groupBy("source", "cipher", "unit").agg(F.first("of_unit").alias("of_unit"), F.map_from_entries(F.collect_list(F.struct("letters", "seen"))).alias("seen")), k)
+    by_rule = by_rule.join(units, ["source", "cipher", "unit"], "left")
+    by_rule = by_rule.select("doc", "source", "context", "cipher", "unit", "letters", "n", (F.col("gain") + F.log((F.coalesce(F.try_element_at("seen", F.col("letters")), zero) + PRIOR_COUNT) / (F.coalesce("of_unit", zero) + PRIOR_COUNT))).alias("logw"))
+    learned = sized(tables.where(f"not by_rule and seen >= {LEARNED_COUNT} and seen >= {SHARE} * of_unit"), k)
+    by_table = at.join(sized(found.where("cipher is null").select("context", "unit", "letters", "gain"), n), "context").join(learned, ["source", "unit", "letters"])
     return by_rule.unionByName(by_table.select("doc", "source", "context", "cipher", "unit", "letters", "n", (F.col("gain") + F.log(F.col("seen") / (F.col("of_unit") + PRIOR_COUNT))).alias("logw")))
 
 
-def _learned(evidence: DataFrame, found: DataFrame, best: DataFrame, rows: DataFrame) -> DataFrame:
+def _learned(evidence: DataFrame, found: DataFrame, best: DataFrame, rows: DataFrame, n_best: int) -> DataFrame:
     """M step: (source, cipher, unit, letters, by_rule, seen, of_unit) from the documents of each cluster, each sighting split by posterior weight."""
-    own = evidence.join(sized(best.select("doc", "cipher")), ["doc", "cipher"]).select("doc", "source", "context", "cipher", "unit", "letters", "n", "logw", F.lit(True).alias("by_rule"))
+    of = sized(best.select("doc", "cipher"), n_best)
+    clustered = materialize(rows.join(of, "doc"))
+    own = materialize(evidence.join(of, ["doc", "cipher"]).select("doc", "source", "context", "cipher", "unit", "letters", "n", "logw", F.lit(True).alias("by_rule")))
     # letters that bigrams alone name, for units of the cluster's documents that no rule explains
-    open_ = rows.join(sized(best.select("doc", "cipher")), "doc").join(own.select("doc", "context").distinct(), ["doc", "context"], "left_anti")
-    more = open_.join(sized(found.where("cipher is null").select("context", "unit", "letters", F.col("gain").alias("logw"))), "context").select("doc", "source", "context", "cipher", "unit", "letters", "n", "logw", F.lit(False).alias("by_rule"))
+    open_ = clustered.join(own.select("doc", "context"), ["doc", "context"], "left_anti")
+    more = open_.join(sized(found.where("cipher is null").select("context", "unit", "letters", F.col("gain").alias("logw")), found.count()), "context").select("doc", "source", "context", "cipher", "unit", "letters", "n", "logw", F.lit(False).alias("by_rule"))
     every = own.unionByName(more)
     weighed = every.groupBy("doc", "source", "cipher", "context", "unit").agg(F.collect_list(F.struct("letters", "logw", "by_rule")).alias("xs"), F.max("logw").alias("most"), F.max("n").alias("n"))  # at most the swaps of one cipher and LETTERS
     each = weighed.select("source", "cipher", "unit", "n", F.aggregate("xs", F.lit(0.0), lambda s, x: s + F.exp(x["logw"] - F.col("most"))).alias("z"), "most", F.explode("xs").alias("x"))
     seen = each.groupBy("source", "cipher", "unit", "x.letters").agg(F.sum(_sightings(F.col("n")) * F.exp(F.col("x.logw") - F.col("most")) / F.col("z")).alias("seen"), F.max("x.by_rule").alias("by_rule"))
     # all sightings of a unit in the cluster's documents, also where it stands for itself
-    every_unit = rows.join(sized(best.select("doc", "cipher")), "doc").groupBy("source", "cipher", _unit_of().alias("unit")).agg(F.sum(_sightings(F.col("n"))).alias("of_unit"))
+    every_unit = clustered.groupBy("source", "cipher", _unit_of().alias("unit")).agg(F.sum(_sightings(F.col("n"))).alias("of_unit"))
     return materialize(seen.join(every_unit, ["source", "cipher", "unit"]))
 
 
 def _assigned(evidence: DataFrame, priors: DataFrame | None, least: float, sure: float | None = None) -> DataFrame:
     """E step: (doc, source, cipher, gain, score) of the best cluster of each document that gains by one. sure: contexts that gain less don't count."""
-    by_context = evidence.groupBy("doc", "source", "cipher", "context").agg(F.max("logw").alias("most"), F.max("n").alias("n"))
+    by_context = evidence.repartition("doc").groupBy("doc", "source", "cipher", "context").agg(F.max("logw").alias("most"), F.max("n").alias("n"))
     if sure is not None:
         by_context = by_context.where(F.col("most") > sure)
     by_cipher = by_context.groupBy("doc", "source", "cipher").agg(F.sum(F.col("most") * _sightings(F.col("n"))).alias("gain"))
@@ -374,20 +377,19 @@ def learn(rows: DataFrame, rounds: int = ROUNDS) -> Learned:
         found = candidates(counted, bigrams)
         evidence = materialize(_evidence(rows, found, tables))
         now = _assigned(evidence, priors, SURE_GAIN)
-        moved = now.count() if best is None else now.join(best.select("doc", "cipher"), ["doc", "cipher"], "left_anti").count()
+        n_best = now.count()
+        moved = n_best if best is None else now.join(best.select("doc", "cipher"), ["doc", "cipher"], "left_anti").count()
         best = now
-        tables = _learned(evidence, found, best, rows)
+        tables = _learned(evidence, found, best, rows, n_best)
         shares = best.groupBy("source", "cipher").agg(F.count("*").alias("k")).join(totals, "source")
         priors = materialize(shares.select("source", "cipher", F.greatest(F.lit(-5.0), F.least(F.lit(-0.5), F.log(F.col("k") / F.col("docs")))).alias("prior")))
-        if k and moved * 1000 <= best.count():
+        if k and moved * 100 <= n_best:
             break
         # the bigrams without what the clusters' tables call garbled
-        top = evidence.join(best.select("doc", "cipher"), ["doc", "cipher"]).groupBy("doc", "context").agg(F.max_by("letters", F.struct("logw", "letters")).alias("letters"), F.max("n").alias("n"))
-        taken = materialize(top.groupBy("context", "letters").agg(F.sum("n").alias("n")))
-        minus = _bigrams(taken.select("context", (-F.col("n")).cast("double").alias("n")))
+        top = evidence.join(sized(best.select("doc", "cipher"), n_best), ["doc", "cipher"]).groupBy("doc", "context").agg(F.max_by("letters", F.struct("logw", "letters")).alias("letters"), F.max("n").cast("double").alias("n"))
         ends = F.concat(F.substring("context", 1, 1), F.col("letters"), F.substring(F.col("context"), -1, 1))
-        plus = _bigrams(taken.select(ends.alias("context"), F.col("n").cast("double").alias("n")))
-        bigrams = Bigrams([tuple(r) for r in whole.unionByName(minus).unionByName(plus).groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 0").collect()])
+        swapped = top.groupBy("context", "letters").agg(F.sum("n").alias("n")).select(F.inline(F.array(F.struct(F.col("context"), (-F.col("n")).alias("n")), F.struct(ends.alias("context"), F.col("n")))))
+        bigrams = Bigrams([tuple(r) for r in whole.unionByName(_bigrams(swapped)).groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 0").collect()])
     best = _assigned(_evidence(rows, found, tables), priors, MIN_GAIN, SURE_CONTEXT)
     more, table = unknown_pages(rows, found, best)
     tables = tables.select("source", "cipher", "unit", "letters", "seen", "of_unit")
