@@ -1,31 +1,33 @@
 """Evaluation texts leaking into training text.
 
-1. The stated query set (evaluation items) is indexed in blocks of ITEM_BLOCK items. Sentences that several items share (questions) are left out
-   first. Windows of WINDOW words slide over the rest of each item; each has a 64-bit SimHash of its words.
-2. Each document is read once, in Arrow batches: folded to lower case without accents, split into words, mapped to the block's vocabulary.
-   A window of a document can only be within reach if enough of its weight lies on words of that vocabulary; this bound is exact for step 4 and
-   leaves a small share of the windows. Those get SimHashes too.
+1. The stated query set (evaluation items) is indexed. Items of the same text are one, with all their ids. Questions that several texts share are left
+   out; windows of WINDOW words slide over the rest of each text, each with a 64-bit SimHash of its words. Weights (rarity of words and of pairs of words)
+   are counted over the whole query set, so no item's result depends on how the set is cut into blocks of ITEM_BLOCK texts.
+2. Each document is read once, in Arrow batches: folded to lower case without accents, split into words, mapped to the index's vocabulary. Windows whose
+   words all stand in it get SimHashes. A piece that step 4 accepts has WINDOW words in a row unchanged: with more than one in 5.5 words changed, its
+   share of words and pairs of words falls below MIN_SIMILARITY.
 3. Multi-index Hamming search: the 64 bits are cut into RADIUS + 1 blocks, so that two fingerprints within RADIUS agree in one block at least
-   (pigeonhole); every pair that agrees in a block is compared in full.
-4. Each (document, item) within the radius is verified exactly on the whole words around its hits: matching runs are chained in order, and the
-   chain must cover a piece of the item of PIECE_WORDS words with a weighted share of MIN_SIMILARITY. Words and pairs of words weigh by their
-   rarity among the items, so a sentence frame that many items share is no match without the item's own names and numbers.
+   (pigeonhole); every pair that agrees in a block is compared in full. A block has 16 bits, so a window meets few of a large set's fingerprints.
+4. Hits around which at least MIN_NEAR words agree, at their place or SHIFT words off it, are verified exactly on the whole words around them: matching
+   runs are chained in order, and the chain must cover a piece of the item of PIECE_WORDS words with a weighted share of MIN_SIMILARITY. Words and pairs
+   of words weigh by their rarity among the items, so a sentence frame that many items share is no match without the item's own names and numbers.
 
-Documents never meet each other and nothing is shuffled but the found pairs. Items are the stated query set; their number only adds passes.
+Documents never meet each other and nothing is shuffled but the found pairs. The corpus is read once for each ITEM_BLOCK texts of the query set.
 
-Defined results: null or empty texts, and items without MIN_WORDS words of their own, leak nothing. Whole texts are searched, however long.
-Ties (a piece that two items share literally) give both items. Rows repeated in the input give one result. Extra columns are ignored.
+Defined results: null or empty texts leak nothing. An item of less than PIECE_WORDS words of its own counts where all of it stands literally; one of less than WINDOW
+can't be told from a phrase and is reported by `too_short`. Whole texts are searched, however long. Ties (a piece that two items share
+literally, items of the same text) give both items. Rows repeated in the input give one result. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from difflib import SequenceMatcher
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +38,10 @@ from pyspark.sql import functions as F
 #: A piece counts from so many words (TESTDATA.md) and with so much of its weight. A piece that lost a word or two at its ends must match all but literally:
 #: sentence frames that two items share with one place and thing in common are about as long.
 PIECE_WORDS, MIN_SIMILARITY, EXACT_SIMILARITY = 15, 0.74, 0.92
-WINDOW, RADIUS, ITEM_BLOCK = 12, 9, 5_000
-MIN_WORDS, MIN_SHARE = 13, 0.7
-#: Of a window within the radius, so much of its weight must stand word by word in the item's window; a piece has many windows, one is enough.
-MIN_ALIGNED = 0.65
+WINDOW, RADIUS, ITEM_BLOCK = 5, 3, 100_000
+MIN_WORDS = 13
+#: Around a hit, within REACH words on either side, so many words must agree with the item's at their place or SHIFT words off it; shorter items need all but two.
+MIN_NEAR, REACH, SHIFT = 9, 16, 2
 #: Words between two matching runs of one chain, on either side.
 MAX_GAP = 5
 
@@ -60,64 +62,80 @@ def _words(text: str) -> list[str]:
     return [w for w in words(pa.array([text]))[0].as_py() if w]
 
 
-def _random_bits(n: int) -> np.ndarray:
-    """n rows of 64 signs, the same ones everywhere."""
-    return np.random.default_rng(20_240_601).integers(0, 2, (n, 64), dtype=np.int8) * 2 - 1
+def questionless(texts: list[str]) -> list[list[str]]:
+    """The words of each of some different texts, without questions that texts share."""
+    cut = [[(_words(x), x.rstrip().endswith("?")) for x in re.split(r"(?<=[.?!])\s+", t)] for t in texts]
+    seen: Counter = Counter(k for sentences in cut for k in {tuple(ws) for ws, asks in sentences if asks})
+    return [[w for ws, asks in sentences if not asks or seen[tuple(ws)] == 1 for w in ws] for sentences in cut]
 
 
 @dataclass
-class ItemIndex:
-    """What every task gets: bounded by ITEM_BLOCK items."""
+class Items:
+    """The query set: different texts with their ids and words, and weights counted over all of them."""
 
-    ids: list[int]
-    tokens: list[list[int]]  # each item's own words
-    vocabulary: list[str]
-    weight: np.ndarray  # by word id
-    pair_df: dict[tuple[int, int], int]
-    prints: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    item_of: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    flat: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # all items' words in a row
-    place_of: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # where each fingerprint's window begins in it
+    ids: list[list[int]]
+    words: list[list[str]]
+    df: Counter
+    pair_df: Counter
+
+
+def query_set(items: Iterable[tuple[int, str | None]]) -> Items:
+    by_words: dict[str, tuple[str, set[int]]] = {}
+    for i, t in items:
+        if t and (key := " ".join(_words(t))):
+            by_words.setdefault(key, (t, set()))[1].add(i)
+    owned = questionless([t for t, _ in by_words.values()])
+    df: Counter = Counter(w for ws in owned for w in set(ws))
+    pair_df: Counter = Counter(p for ws in owned for p in set(zip(ws, ws[1:], strict=False)))
+    return Items([sorted(ids) for _, ids in by_words.values()], owned, df, pair_df)
 
 
-def own_sentences(texts: list[str]) -> list[list[str]]:
-    """The words of each text, without sentences that texts share."""
-    cut = [[_words(s) for s in re.split(r"(?<=[.?!])\s+", t)] for t in texts]
-    seen: Counter = Counter(k for sentences in cut for k in {tuple(s) for s in sentences})
-    alone = len(texts) == 1
-    return [[w for s in sentences if s and (alone or seen[tuple(s)] == 1 or len(s) > 40) for w in s] for sentences in cut]
+@dataclass
+class ItemIndex:
+    """What every task gets: bounded by ITEM_BLOCK texts."""
+
+    ids: list[list[int]]
+    begins: np.ndarray  # where each text's words begin in flat, and the end
+    flat: np.ndarray  # all texts' words in a row, as numbers of the vocabulary
+    weight: np.ndarray  # of each word in flat
+    pair_weight: np.ndarray  # of each word in flat with the next one
+    vocabulary: list[str]
+    prints: np.ndarray
+    place_of: np.ndarray  # where in flat each fingerprint's window begins
 
 
 def simhash(ids: np.ndarray, starts: np.ndarray, length: int, signs: np.ndarray) -> np.ndarray:
-    """The SimHash of the windows of `length` words that begin at starts. A word outside the vocabulary has id len(signs) - 1."""
-    total = np.zeros((len(starts), 64), np.int16)
+    """The SimHash of the windows of `length` words that begin at starts."""
+    total = np.zeros((len(starts), 64), np.int8)
     for k in range(length):
         total += signs[ids[starts + k]]
     return np.packbits(total > 0, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def build_index(items: list[tuple[int, str]]) -> ItemIndex:
-    ids, owned = [], []
-    for i, ws in zip([i for i, _ in items], own_sentences([t or "" for _, t in items]), strict=True):
-        if len(ws) >= MIN_WORDS:
-            ids.append(i)
-            owned.append(ws)
-    df: Counter = Counter(w for ws in owned for w in set(ws))
-    vocabulary = sorted(df)
-    number = {w: k for k, w in enumerate(vocabulary)}
-    n = max(2, len(owned))
-    weight = np.array([max(0.1, math.log(n / df[w]) / math.log(n)) for w in vocabulary] + [1.0])
-    tokens = [[number[w] for w in ws] for ws in owned]
-    pair_df: Counter = Counter(p for t in tokens for p in set(zip(t, t[1:], strict=False)))
-    index = ItemIndex(ids, tokens, vocabulary, weight, dict(pair_df))
-    if tokens:
-        signs = _random_bits(len(vocabulary) + 1)
-        prints = [simhash(np.array(t), np.arange(len(t) - WINDOW + 1), WINDOW, signs) for t in tokens]
-        index.prints, index.item_of = np.concatenate(prints), np.repeat(np.arange(len(tokens)), [len(p) for p in prints])
-        index.flat = np.concatenate([np.array(t, np.int64) for t in tokens])
-        begins = np.cumsum([0, *map(len, tokens)])
-        index.place_of = np.concatenate([b + np.arange(len(p)) for b, p in zip(begins, prints, strict=False)])
-    return index
+def signs_of(vocabulary: list[str]) -> np.ndarray:
+    """64 signs for each word, the same ones in every block and task."""
+    hashes = np.array([int.from_bytes(blake2b(w.encode(), digest_size=8).digest(), "little") for w in vocabulary], np.uint64)
+    return (np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int8) * 2 - 1) if len(hashes) else np.zeros((0, 64), np.int8)
+
+
+def build_index(items: Items, first: int = 0, last: int | None = None) -> ItemIndex:
+    """The index of the texts from first to last; texts of less than WINDOW words have none."""
+    picked = [k for k in range(first, min(len(items.ids), len(items.ids) if last is None else last)) if len(items.words[k]) >= WINDOW]
+    vocabulary = sorted({w for k in picked for w in items.words[k]})
+    number = {w: n for n, w in enumerate(vocabulary)}
+    n = max(2, len(items.ids))
+    rare = lambda df: math.log(n / df) / math.log(n)
+    flat, weight, pair_weight, begins, starts = [], [], [], [0], []
+    for k in picked:
+        ws = items.words[k]
+        starts += range(len(flat), len(flat) + len(ws) - WINDOW + 1)
+        flat += [number[w] for w in ws]
+        weight += [max(0.1, rare(items.df[w])) for w in ws]
+        pair_weight += [*(max(0.0, rare(items.pair_df[p])) for p in zip(ws, ws[1:], strict=False)), 0.0]
+        begins.append(len(flat))
+    ids, places = np.array(flat, np.int64), np.array(starts, np.int64)
+    prints = simhash(ids, places, WINDOW, signs_of(vocabulary)) if len(places) else np.zeros(0, np.uint64)
+    return ItemIndex([items.ids[k] for k in picked], np.array(begins, np.int64), ids, np.array(weight), np.array(pair_weight), vocabulary, prints, places)
 
 
 _EDGES = np.linspace(0, 64, RADIUS + 2).round().astype(int)
@@ -134,7 +152,7 @@ class HammingIndex:
             bounds = np.searchsorted(key[order], np.arange((1 << int(hi - lo)) + 1, dtype=np.uint64))
             self.blocks.append((int(lo), int(hi), order, bounds))
 
-    def near(self, queries: np.ndarray, step: int = 2_000) -> tuple[np.ndarray, np.ndarray]:
+    def near(self, queries: np.ndarray, step: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
         """(query, print) pairs within the radius, perhaps more than once."""
         out_q, out_p = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for at in range(0, len(queries), step):
@@ -152,8 +170,8 @@ class HammingIndex:
 
 def similarity(index: ItemIndex, item: int, doc: list[int]) -> tuple[int, float]:
     """The best chain of matching runs of an item in a stretch of a document: (words of the item it spans, weighted share that matches)."""
-    own = index.tokens[item]
-    log_n = math.log(max(2, len(index.ids)))
+    lo_item, hi_item = int(index.begins[item]), int(index.begins[item + 1])
+    own, weight, pair_weight = index.flat[lo_item:hi_item].tolist(), index.weight[lo_item:hi_item].tolist(), index.pair_weight[lo_item:hi_item].tolist()
     chain: list[tuple[int, int, int]] = []
     best = (0, 0.0)
 
@@ -164,13 +182,11 @@ def similarity(index: ItemIndex, item: int, doc: list[int]) -> tuple[int, float]
         pairs = {p for a, _, n in chain for p in range(a, a + n - 1)}
         whole = part = 0.0
         for p in range(lo, hi):
-            w = index.weight[own[p]]
-            whole += w
-            part += w * (p in held)
+            whole += weight[p]
+            part += weight[p] * (p in held)
             if p + 1 < hi:
-                w = max(0.0, math.log(len(index.ids) / index.pair_df[own[p], own[p + 1]]) / log_n)
-                whole += w
-                part += w * (p in pairs)
+                whole += pair_weight[p]
+                part += pair_weight[p] * (p in pairs)
         found = (hi - lo, part / whole if whole else 0.0)
         if min(found[0], MIN_WORDS) * found[1] > min(best[0], MIN_WORDS) * best[1]:
             best = found
@@ -187,7 +203,23 @@ def similarity(index: ItemIndex, item: int, doc: list[int]) -> tuple[int, float]
     return best
 
 
-def search_batch(index: ItemIndex, near: HammingIndex, signs: np.ndarray, vocabulary: pa.Array, texts: pa.Array) -> list[tuple[int, int, int, float]]:
+def _near(index: ItemIndex, ids: np.ndarray, rows: np.ndarray, at: np.ndarray, place: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Which hits have MIN_NEAR agreeing words around them; at and place are where the windows begin in the document's and the item's words."""
+    along = np.arange(-REACH, WINDOW + REACH)
+    theirs = place[:, None] + along
+    inside = (theirs >= index.begins[item][:, None]) & (theirs < index.begins[item + 1][:, None])
+    words = index.flat[np.clip(theirs, 0, len(index.flat) - 1)]
+    agree = np.zeros(theirs.shape, bool)
+    for shift in range(-SHIFT, SHIFT + 1):
+        mine = at[:, None] + along + shift
+        ok = (mine >= 0) & (mine < len(ids))
+        mine = np.clip(mine, 0, len(ids) - 1)
+        agree |= ok & (rows[mine] == rows[at][:, None]) & (ids[mine] == words)
+    own = index.begins[item + 1] - index.begins[item]
+    return (agree & inside).sum(1) >= np.minimum(MIN_NEAR, own - 2)
+
+
+def search_batch(index: ItemIndex, near: HammingIndex, signs: np.ndarray, vocabulary: pa.Array, texts: pa.Array, step: int = 100_000) -> list[tuple[int, int, int, float]]:
     """(row of the batch, item's place in the index, words, similarity) of all verified leaks."""
     split = words(texts)
     if isinstance(split, pa.ChunkedArray):
@@ -201,30 +233,27 @@ def search_batch(index: ItemIndex, near: HammingIndex, signs: np.ndarray, vocabu
     n = len(ids) - WINDOW + 1
     if n <= 0:
         return []
-    known = np.where(ids < len(vocabulary), index.weight[ids], 0.0)
-    inside = np.concatenate([[0], np.cumsum(known)])
-    total = np.concatenate([[0], np.cumsum(index.weight[ids])])
-    share = (inside[WINDOW:] - inside[:-WINDOW]) >= MIN_SHARE * (total[WINDOW:] - total[:-WINDOW])
-    starts = np.flatnonzero(share & (rows[:n] == rows[WINDOW - 1 :]))
-    if not len(starts):
-        return []
-    q, p = near.near(simhash(ids, starts, WINDOW, signs))
-    along = np.arange(WINDOW)
-    mine, theirs = ids[starts[q][:, None] + along], index.flat[index.place_of[p][:, None] + along]
-    heavy = index.weight[theirs]
-    aligned = (heavy * (mine == theirs)).sum(1) >= MIN_ALIGNED * heavy.sum(1)
-    places: dict[tuple[int, int], list[int]] = defaultdict(list)
-    for s, item in set(zip(starts[q[aligned]].tolist(), index.item_of[p[aligned]].tolist(), strict=True)):
-        places[int(rows[s]), item].append(s)
+    unknown = np.concatenate([[0], np.cumsum(ids == len(vocabulary))])
+    starts = np.flatnonzero((unknown[WINDOW:] == unknown[:-WINDOW]) & (rows[:n] == rows[WINDOW - 1 :]))
+    places: dict[tuple[int, int], set[int]] = defaultdict(set)
+    for lo in range(0, len(starts), step):
+        part = starts[lo : lo + step]
+        q, p = near.near(simhash(ids, part, WINDOW, signs))
+        at, place = part[q], index.place_of[p]
+        item = np.searchsorted(index.begins, place, "right") - 1
+        for k in range(0, len(at), step):
+            a, i = at[k : k + step], item[k : k + step]
+            ok = _near(index, ids, rows, a, place[k : k + step], i)
+            for s, e in zip(a[ok].tolist(), i[ok].tolist(), strict=True):
+                places[int(rows[s]), e].add(s)
     first = np.searchsorted(rows, np.arange(len(texts)), "left")
     last = np.searchsorted(rows, np.arange(len(texts)), "right")
     out = []
-    for (row, item), at in places.items():
-        at.sort()
-        own = len(index.tokens[item])
+    for (row, item), hits in places.items():
+        own = int(index.begins[item + 1] - index.begins[item])
         lo = hi = -1
         best = (0, 0.0)
-        for s in [*at, None]:  # stretches of the document around hits that lie close together
+        for s in [*sorted(hits), None]:  # stretches of the document around hits that lie close together
             if s is not None and hi >= 0 and s <= hi:
                 hi = s + own
                 continue
@@ -237,29 +266,40 @@ def search_batch(index: ItemIndex, near: HammingIndex, signs: np.ndarray, vocabu
     return out
 
 
-def leak_scores(docs: DataFrame, items: list[tuple[int, str]], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, item_id, words, similarity) of all pairs within the SimHash radius, from one block of items."""
-    index = build_index(items)
+def leak_scores(docs: DataFrame, index: ItemIndex, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, item_id, words, own, similarity) of all verified hits of one block of items; own is the item's number of words."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
-        near, signs, vocabulary = HammingIndex(ix.prints), _random_bits(len(ix.vocabulary) + 1), pa.array(ix.vocabulary, pa.string())
+        near, signs, vocabulary = HammingIndex(ix.prints), np.vstack([signs_of(ix.vocabulary), np.zeros((1, 64), np.int8)]), pa.array(ix.vocabulary, pa.string())
         for b in batches:
-            found = search_batch(ix, near, signs, vocabulary, b.column(1)) if ix.ids else []
+            found = [(row, i, n, int(ix.begins[item + 1] - ix.begins[item]), share) for row, item, n, share in (search_batch(ix, near, signs, vocabulary, b.column(1)) if ix.ids else ()) for i in ix.ids[item]]
             if found:
-                yield pa.RecordBatch.from_pydict({"doc_id": b.column(0).take(pa.array([f[0] for f in found])), "item_id": pa.array([ix.ids[f[1]] for f in found], pa.int64()), "words": pa.array([f[2] for f in found], pa.int32()), "similarity": pa.array([f[3] for f in found], pa.float64())})
+                row, item, n, own, share = zip(*found, strict=True)
+                yield pa.RecordBatch.from_pydict({"doc_id": b.column(0).take(pa.array(row)), "item_id": pa.array(item, pa.int64()), "words": pa.array(n, pa.int32()), "own": pa.array(own, pa.int32()), "similarity": pa.array(share, pa.float64())})
+
+    return docs.where(F.col(text) != "").select(F.col(doc_id).cast("bigint").alias("doc_id"), text).mapInArrow(run, "doc_id bigint, item_id bigint, words int, own int, similarity double")
+
+
+def _query_rows(items: DataFrame) -> Iterator[tuple[int, str]]:
+    return ((r[0], r[1]) for r in items.select("item_id", "text").where("text is not null").distinct().orderBy("item_id", "text").toLocalIterator())
+
 
-    return docs.where(F.col(text) != "").select(F.col(doc_id).cast("bigint").alias("doc_id"), text).mapInArrow(run, "doc_id bigint, item_id bigint, words int, similarity double")
+def too_short(items: DataFrame) -> list[int]:
+    """The ids of items with less than WINDOW words of their own, which can't be searched for."""
+    found = query_set(_query_rows(items))
+    return sorted(i for ids, ws in zip(found.ids, found.words, strict=True) if len(ws) < WINDOW for i in ids)
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = ITEM_BLOCK) -> DataFrame:
     """(doc_id, item_id, words, similarity): the corpus documents that hold an item's passage or a piece of it. The items are the stated query
-    set and come to the driver; a set of more than ITEM_BLOCK is worked off in blocks."""
-    rows = sorted({(r[0], r[1]) for r in items.select("item_id", "text").where("text is not null").toLocalIterator()})
-    parts = [leak_scores(docs, rows[at : at + ITEM_BLOCK], doc_id, text) for at in range(0, max(1, len(rows)), ITEM_BLOCK)]
+    set and come to the driver; a set of more than `block` texts is searched for in as many passes, with the same result."""
+    known = query_set(_query_rows(items))
+    parts = [leak_scores(docs, build_index(known, at, at + block), doc_id, text) for at in range(0, max(1, len(known.ids)), block)]
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    good = found.where(((F.col("words") >= PIECE_WORDS) & (F.col("similarity") >= MIN_SIMILARITY)) | ((F.col("words") >= MIN_WORDS) & (F.col("similarity") >= EXACT_SIMILARITY)))
+    literal = (F.col("words") >= F.least(F.lit(MIN_WORDS), F.col("own"))) & (F.col("similarity") >= EXACT_SIMILARITY)
+    good = found.where(((F.col("words") >= PIECE_WORDS) & (F.col("similarity") >= MIN_SIMILARITY)) | literal)
     return good.groupBy("doc_id", "item_id").agg(F.max("words").alias("words"), F.max("similarity").alias("similarity"))

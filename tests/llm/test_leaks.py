@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -60,5 +62,60 @@ def test_hamming_index_finds_all(prints, seed, flips):
     assert set(zip(a.tolist(), b.tolist(), strict=True)) == brute
 
 
+def test_items_of_the_same_text(spark):
+    """An item that stands twice in the set is no rarer for it: both ids get the leak."""
+    a = item(1)
+    assert scan(spark, [a], [(1, a), (7, a.upper()), (2, item(2))]) == [(0, 1), (0, 7)]
+
+
+def test_items_that_share_their_passage(spark):
+    a = item(1).replace(QUESTION, "")
+    assert scan(spark, [a], [(1, a + QUESTION), (2, a + "Who pays the fee of the second year?"), (3, item(3))]) == [(0, 1), (0, 2)]
+
+
+def test_blocks_of_items_change_nothing(spark):
+    items = [(i, item(i)) for i in range(25)]
+    docs = spark.createDataFrame([(i, f"so it goes and {' '.join(t.split()[i : i + 20])} and then it goes on") for i, t in items], "doc_id bigint, text string")
+    q = spark.createDataFrame(items, "item_id bigint, text string")
+    whole = rows(leaks.find_leaks(docs, q))
+    assert {r[:2] for r in whole} == {(i, i) for i, _ in items} and rows(leaks.find_leaks(docs, q, block=7)) == whole
+
+
+def test_short_items(spark):
+    short = "bakbar estcal inedor owfen undgri yrhol ostjun"
+    q = [(1, short), (2, "too short"), (3, item(3))]
+    assert scan(spark, [f"It was said that {short} in the end", "too short"], q) == [(0, 1)]
+    assert leaks.too_short(spark.createDataFrame(q, "item_id bigint, text string")) == [2]
+
+
+def edited(ws, edits, r):
+    """ws with single words changed, left out or put in, spread over it."""
+    ws = list(ws)
+    for k in range(edits):
+        at = min(len(ws) - 2, max(1, (k + 1) * len(ws) // (edits + 1)))
+        kind = r.choice(("change", "change", "drop", "add"))
+        ws[at : at + 1] = {"change": ["altered"], "drop": [], "add": [ws[at], "inserted"]}[kind]
+    return ws
+
+
+@pytest.mark.parametrize("length, edits", [(15, 1), (15, 2), (18, 2), (20, 3), (25, 3)])
+def test_recall_on_short_pieces(length, edits):
+    """Against the exact alignment of every item with every text."""
+    items = [(i, item(i)) for i in range(40)]
+    index = leaks.build_index(leaks.query_set(items))
+    r = random.Random(length * 10 + edits)
+    texts = []
+    for i, t in items:
+        ws, at = t.split(), r.randrange(0, 30)
+        filler = [r.choice(["the", "plan", "fee", "year", "adviser", "trust"]) for _ in range(30)]
+        texts.append(" ".join([*filler, *edited(ws[at : at + length], edits, r), *filler]))
+    number = {w: k for k, w in enumerate(index.vocabulary)}
+    accept = lambda n, share: n >= leaks.PIECE_WORDS and share >= leaks.MIN_SIMILARITY or n >= leaks.MIN_WORDS and share >= leaks.EXACT_SIMILARITY
+    brute = {(d, i) for d, t in enumerate(texts) for i in range(len(items)) if accept(*leaks.similarity(index, i, [number.get(w, len(number)) for w in leaks._words(t)]))}
+    signs = np.vstack([leaks.signs_of(index.vocabulary), np.zeros((1, 64), np.int8)])
+    found = leaks.search_batch(index, leaks.HammingIndex(index.prints), signs, pa.array(index.vocabulary), pa.array(texts))
+    assert {(d, i) for d, i, n, share in found if accept(n, share)} == brute and len(brute) >= 0.25 * len(texts)
+
+
 def test_query(spark, data):
     assert queries.p6_found(spark, data).columns == ["doc_id", "item_id"]
