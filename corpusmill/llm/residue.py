@@ -1,7 +1,7 @@
 """Template residue and error-page text: records whose title or body holds unfilled spots, filler, errors or calls to turn on scripts.
 
-1. Exemplars of residue are labelled by hand (EXEMPLARS, in five languages), and so are passages that look alike but are content (COUNTER_EXAMPLES).
-   An inverted index leads from a word to the exemplars that hold it; the set is a constant of this module, so every task has it.
+1. Exemplars of residue are labelled by hand (EXEMPLARS, in five languages), and so are passages that look alike but are content (COUNTER_EXAMPLES);
+   another set may be given as pairs (kind, text). An inverted index leads from a word to the exemplars that hold it; every task has the set.
 2. Every title and every sentence of a body is a passage window; so are the parts of a title between bars, dashes with blanks and the like, where site
    names stand, and the parts between bars of a sentence. What a colon parts is mostly one headline ('Just a moment: ...'), so there only values that
    a program left (undefined, NaN ...) count. A part that is only a number counts in titles alone, as an error's code. Unfilled spots ({{name}}, ${x}, [INSERT DATE], __CITY__ ...) become one word of
@@ -11,7 +11,8 @@
    so a window with fewer can't reach step 4's coverage.
 4. Words weigh by inverse document frequency over all records of all tables. A window is residue if one exemplar covers at least MIN_COVERAGE of
    the window's weight and the window at least MIN_CONTAINED of the exemplar's; exemplars of loose vocabulary (lorem ipsum) need the first
-   only, with MIN_LOOSE words. A <slot> is residue by itself. A window that a counterexample covers better is content, and so are the parts of one
+   only, with MIN_LOOSE words. A window between wordings is residue if a few exemplars of one kind cover it together (`Scorer.together`). A <slot> is
+   residue by itself. A window that a counterexample covers better is content, and so are the parts of one
    that a counterexample covers.
 
 The pass reads rows where they lie; only word counts of the exemplars' vocabulary (a constant size) are brought together, and nothing else is
@@ -34,46 +35,59 @@ from pyspark.sql import functions as F
 from corpusmill.cluster import materialize
 
 MIN_COVERAGE, MIN_CONTAINED, MIN_LOOSE, MIN_KNOWN = 0.72, 0.6, 3, 0.55
+#: A wording between exemplars: at most MOST_PARTS of one kind together must cover so much of a window, each with so much of its own weight in it (more where
+#: the window is one word); the two rarest covered words weigh so much of an unknown word's weight; words stand in pairs as in the exemplars, or nearly all is covered.
+MIN_UNION, MOST_PARTS, MIN_PART, MIN_ONE, MIN_RARITY, MIN_ALONE = 0.62, 6, 0.15, 0.5, 0.5, 0.75
+SLOT_KIND, STEM = "slot", 7
 #: The word that stands for an unfilled spot.
 SLOT = "xslotx"
 
-# Residue by kind, labelled by hand; gathered from common wordings of content systems, servers and browsers and from reading the test tables.
+# Residue by kind, labelled by hand: common wordings of content systems, servers and browsers in five languages. Another set can be given to every
+# function as pairs (kind, text).
 EXEMPLARS: dict[str, list[str]] = {
     "slot": [SLOT],
     "loose": [
         "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum",
         "asdf asdf qwerty test test please ignore",
-        "dummy copy dummy copy dummy text dummy text",
-        "tk tk tk copy to come from marketing",
+        "dummy copy dummy copy dummy text dummy text placeholder copy placeholder text",
+        "tk tk tk copy to come from marketing tbd",
     ],
     "filler": [
-        "This is sample text", "Replace it with your own story before publishing", "Text block placeholder do not publish", "Your headline goes here", "Your text goes here",
-        "I'm a paragraph", "Click here to add your own text and edit me", "Use this space to tell visitors who you are", "Feature one describe it in a sentence or two", "Feature two describe it in a sentence or two", "Feature three describe it in a sentence or two",
-        "Add a short description of the service", "Sample Service Title", "Title text here subtitle text here", "Just another site built with our starter kit", "Just another site", "Placeholder text",
-        "Insert your text here", "Hello world Welcome to your first post", "Edit or delete it then start writing", "This page is under construction", "Content goes here", "Heading goes here", "Image caption goes here",
-        "Untitled", "Untitled document", "New post edit me", "Your Blog Post Title", "Sample Page", "Copy of Blog Post Template", "Blog Post Template", "Copy of template", "Sample Post", "Insert title here", "Post title", "Title goes here", "Draft do not publish",
+        "This is sample text", "This is placeholder text replace it with your own content before publishing", "Text block placeholder do not publish", "Draft do not publish", "Your headline goes here", "Your text goes here", "Content goes here", "Heading goes here", "Image caption goes here", "Insert your text here", "Insert title here",
+        "I'm a paragraph", "Click here to add your own text and edit me", "Add your own content here", "Use this space to tell visitors who you are and what you do", "Describe the feature in a sentence or two", "Add a short description of the service", "Write a short description of your business here", "Sample service title", "Title text here subtitle text here",
+        "Just another site built with our starter kit", "Just another site", "Hello world Welcome to your first post", "Welcome to WordPress this is your first post edit or delete it then start writing", "This is an example page", "This page is under construction", "Site under construction please check back soon", "Coming soon", "Content coming soon", "Placeholder text",
+        "Untitled", "Untitled document", "New post edit me", "Your Blog Post Title", "Sample Page", "Sample Post", "Blog Post Template", "Copy of Blog Post Template", "Copy of template", "Post title", "Title goes here", "Test post please ignore",
+        "Hier steht Ihr Text", "Dies ist ein Beispieltext bitte ersetzen", "Votre texte ici", "Ceci est un texte d'exemple à remplacer", "Escriba aquí su texto", "Texto de ejemplo", "Seu texto aqui", "Texto de exemplo",
     ],
     "rendering": [
-        "undefined", "null", "NaN", "Welcome undefined", "Your adviser is null", "Posted by null on Invalid Date", "Invalid Date", "undefined undefined joined the team in NaN", "Fees start at NaN per year for object Object", "object Object", "Error cannot render",
+        "undefined", "null", "NaN", "Welcome undefined", "Your adviser is null", "Posted by null on Invalid Date", "Invalid Date", "undefined undefined joined the team in NaN", "Fees start at NaN per year for object Object", "object Object", "Error cannot render", "Cannot read properties of undefined",
     ],
     "error": [
-        "404", "403", "500", "502", "503", "504", "Page not found", "404 Not Found", "404 page not found", "Not Found", "Error 404", "Error 500", "500 Internal Server Error", "502 Bad Gateway", "503 Service Unavailable", "504 Gateway Timeout", "403 Forbidden",
-        "The upstream server returned an invalid response", "Error establishing a database connection", "The service is temporarily unavailable due to maintenance 503", "The service is temporarily unavailable due to maintenance", "Access denied", "You do not have permission to view this resource",
-        "Fatal error Uncaught TypeError in srv web theme php", "Warning include header php failed to open stream in srv web index php on line", "The request took too long and was cancelled", "Retry", "Something went wrong on our end", "Please try again in a few minutes", "Something went wrong", "Oops something went wrong",
-        "Incident id", "Hmm there is nothing at this location", "Go back to the homepage", "Sorry we looked everywhere and this address leads nowhere", "Oops That page can't be found", "That page can't be found", "It may have been moved or removed", "Try the menu above", "The page you requested could not be found", "The page you are looking for does not exist or has been moved",
-        "This account has been suspended", "Contact your hosting provider for details", "410 this content has been withdrawn by its owner", "this content has been withdrawn by its owner", "410 Gone", "This site can't be reached", "Too many requests", "Your session has expired", "Request blocked", "Request timed out", "Nothing here", "Account suspended", "Database error", "Fatal error", "Service unavailable",
-        "Page introuvable", "La page demandée n'existe pas ou a été déplacée", "Lo sentimos la página que buscas no está disponible", "Página no encontrada", "Diese Seite existiert leider nicht mehr", "Zurück zur Startseite", "Seite nicht gefunden", "Página não encontrada", "A página que você procura não existe",
+        "404", "403", "500", "502", "503", "504", "Page not found", "404 Not Found", "404 page not found", "Not Found", "Error 404", "400 Bad Request", "500 Internal Server Error", "502 Bad Gateway", "503 Service Unavailable", "504 Gateway Timeout", "403 Forbidden", "410 Gone",
+        "The requested URL was not found on this server", "Your browser sent a request that this server could not understand", "You don't have permission to access this resource on this server", "Access denied", "You do not have permission to view this resource", "You are not authorized to view this page",
+        "The server encountered an internal error and was unable to complete your request", "The upstream server returned an invalid response", "The server did not respond in time", "The server is temporarily unable to service your request due to maintenance downtime or capacity problems", "The service is temporarily unavailable due to maintenance please try again later", "We are down for scheduled maintenance and will be back soon",
+        "Web server is down", "The web server reported an error", "Error establishing a database connection", "Database error", "Fatal error uncaught exception thrown in php on line", "Fatal error Uncaught TypeError in srv web theme php", "Warning include header php failed to open stream no such file or directory in srv web index php on line", "Application error a client side exception has occurred",
+        "The request took too long and was cancelled", "Request timed out", "The connection has timed out", "This site can't be reached", "Server not found", "Too many requests", "Your session has expired please log in again", "Request blocked", "Your request was blocked by our security service", "Retry",
+        "Something went wrong on our end", "Something went wrong", "Oops something went wrong", "An unexpected error occurred", "An error occurred while processing your request", "Please try again in a few minutes", "Please try again later", "Incident id", "Hmm there is nothing at this location", "Nothing was found at this location", "Nothing here",
+        "Sorry this page isn't available", "Sorry we looked everywhere and this address leads nowhere", "We can't find the page you are looking for", "The page you are looking for does not exist or has been moved", "The page you requested could not be found", "Oops That page can't be found", "That page can't be found", "This page is no longer available", "This content is no longer available", "The link you followed may be broken or the page may have been removed", "It may have been moved renamed or removed", "Check the address and try again", "Try the menu above or search", "Go back to the homepage", "Return to the home page",
+        "This account has been suspended", "Account suspended", "Contact your hosting provider for details", "This website has been disabled by its owner", "this content has been withdrawn by its owner", "This domain has expired", "This domain is parked",
+        "Seite nicht gefunden", "Die gesuchte Seite wurde nicht gefunden", "Diese Seite existiert leider nicht mehr oder wurde verschoben", "Zurück zur Startseite", "Zugriff verweigert", "Interner Serverfehler", "Ein Fehler ist aufgetreten bitte versuchen Sie es später erneut",
+        "Page introuvable", "La page demandée n'existe pas ou a été déplacée", "La page que vous recherchez est introuvable", "Retour à l'accueil", "Accès refusé", "Une erreur est survenue veuillez réessayer plus tard",
+        "Página no encontrada", "No se encontró la página solicitada", "Lo sentimos la página que buscas no está disponible o ya no existe", "Volver al inicio", "Acceso denegado", "Ha ocurrido un error inténtelo de nuevo más tarde",
+        "Página não encontrada", "A página que você procura não existe ou foi movida", "Voltar para a página inicial", "Acesso negado", "Ocorreu um erro tente novamente mais tarde",
     ],
     "script": [
-        "You need to enable JavaScript to run this app", "Please enable JavaScript to view this page", "Enable JavaScript and cookies to continue", "JavaScript seems to be disabled in your browser", "Turn it on for the full experience", "Your browser is not supported", "Scripting is required to use the client portal",
-        "This site relies on scripts your browser has them switched off", "Checking your browser before you continue", "Checking your browser before accessing", "This usually takes seconds", "Just a moment", "Please wait while scripts load", "Please wait while we verify that you are human", "This page requires JavaScript", "JavaScript is required", "Please turn on JavaScript",
-        "Votre navigateur doit exécuter JavaScript pour afficher ce contenu", "Bitte aktivieren Sie JavaScript um fortzufahren", "Active JavaScript para continuar", "Por favor habilite JavaScript para ver esta página", "Veuillez activer JavaScript pour continuer", "Ative o JavaScript para continuar",
+        "You need to enable JavaScript to run this app", "Please enable JavaScript to view this page", "Please enable JavaScript in your browser", "Enable JavaScript and cookies to continue", "JavaScript seems to be disabled in your browser", "JavaScript must be turned on for this website to work properly", "Turn it on for the full experience", "Your browser is not supported", "Your browser does not support JavaScript or it is switched off", "Please upgrade to a modern browser", "Unsupported browser", "Your browser is out of date", "This site requires JavaScript and cookies",
+        "Scripting is required to use the client portal", "This site relies on scripts your browser has them switched off", "This content needs scripts that are blocked", "Checking your browser before you continue", "Checking your browser before accessing", "This usually takes a few seconds", "Just a moment", "Please wait while scripts load", "Loading please wait", "One moment please", "Please wait while we verify that you are human", "Verify you are human to continue", "Please complete the captcha to continue", "This page requires JavaScript", "JavaScript is required", "Please turn on JavaScript",
+        "Bitte aktivieren Sie JavaScript um fortzufahren", "Bitte aktivieren Sie JavaScript in Ihrem Browser", "Votre navigateur doit exécuter JavaScript pour afficher ce contenu", "Veuillez activer JavaScript pour continuer", "Active JavaScript para continuar", "Por favor habilite JavaScript en su navegador para ver esta página", "Ative o JavaScript no seu navegador para continuar", "Ce site nécessite JavaScript pour fonctionner", "Diese Website benötigt JavaScript", "Este sitio requiere JavaScript", "Este site requer JavaScript",
     ],
 }
 # Content that talks about such things or shows a form to copy.
 COUNTER_EXAMPLES = [
     f"The sample letter opens Dear {SLOT} and runs to a single page you can adapt", f"The sample letter opens Dear {SLOT}", f"Write Dear {SLOT} at the top of the letter and sign it", "Fill in the blank lines on the beneficiary form and have two witnesses sign", "Not found on the statement",
 ]
+Pairs = tuple[tuple[str, str], ...]
+DEFAULT: Pairs = (*((kind, t) for kind, texts in EXEMPLARS.items() for t in texts), *(("content", t) for t in COUNTER_EXAMPLES))
 
 #: Unfilled spots of templates. A pair of braces counts with one name or number in it, a pair of square brackets with capitals or a call to fill it.
 SLOT_RE = (
@@ -127,6 +141,11 @@ def _tokens(windows: pa.Array) -> pa.Array:
     return pc.split_pattern_regex(windows, r"[^\p{L}\p{N}]+")
 
 
+def _stems(words: pa.Array) -> pa.Array:
+    """Words by their first STEM letters: disabled and disable, requested and request are one."""
+    return pc.utf8_slice_codeunits(words, 0, STEM)
+
+
 _CODES = {"403", "404", "410", "500", "502", "503", "504"}
 
 
@@ -138,21 +157,22 @@ def _solid(flat: pa.Array) -> np.ndarray:
 
 def _plain(text: str) -> list[str]:
     flat = _tokens(_lower(pa.array([text]))).flatten()
-    return [w for w, ok in zip(flat.to_pylist(), _solid(flat), strict=True) if ok]
+    return [w for w, ok in zip(_stems(flat).to_pylist(), _solid(flat), strict=True) if ok]
 
 
 class Exemplars:
     """The labelled passages, their vocabulary and inverted index."""
 
-    def __init__(self) -> None:
-        self.kind, self.words = [], []
-        for kind, texts in [*EXEMPLARS.items(), ("content", COUNTER_EXAMPLES)]:
-            for t in texts:
+    def __init__(self, pairs: Pairs = DEFAULT) -> None:
+        self.kind, self.words = [SLOT_KIND], [[SLOT]]
+        for kind, t in pairs:
+            if (ws := _plain(t)) and ws != [SLOT]:
                 self.kind.append(kind)
-                self.words.append(_plain(t))
+                self.words.append(ws)
         self.vocabulary = sorted({w for ws in self.words for w in ws})
         number = {w: k for k, w in enumerate(self.vocabulary)}
         self.ids = [sorted({number[w] for w in ws}) for ws in self.words]
+        self.pairs = [{(number[x], number[y]) for x, y in zip(ws, ws[1:], strict=False)} for ws in self.words]
         self.holding: list[list[int]] = [[] for _ in self.vocabulary]
         for e, ids in enumerate(self.ids):
             for i in ids:
@@ -172,7 +192,7 @@ def _word_ids(ex: Exemplars, windows: pa.Array) -> tuple[np.ndarray, np.ndarray]
     flat = split.flatten()
     of = np.repeat(np.arange(len(windows)), np.diff(split.offsets.to_numpy()))
     ok = _solid(flat)
-    ids = pc.fill_null(pc.index_in(flat, value_set=ex.values), len(ex.vocabulary)).to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = pc.fill_null(pc.index_in(_stems(flat), value_set=ex.values), len(ex.vocabulary)).to_numpy(zero_copy_only=False).astype(np.int64)
     return ids[ok], of[ok]
 
 
@@ -193,12 +213,12 @@ def _lists_of(ids: np.ndarray, of: np.ndarray, which: np.ndarray, n: int) -> pa.
 _WINDOWS = "src string, rec_id bigint, window array<int>, cut string, whole array<int>, word int, n bigint"
 
 
-def candidate_windows(records: DataFrame) -> DataFrame:
+def candidate_windows(records: DataFrame, exemplars: Pairs = DEFAULT) -> DataFrame:
     """Written once: (src, rec_id, window, cut, whole) of the windows that could be residue, as word numbers, for parts with the kind of cut and the
     window they are of; and (word, n) of the records that hold a word, with word -1 for all records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ex = Exemplars()
+        ex = Exemplars(exemplars)
         n_words = len(ex.vocabulary)
         df, n = np.zeros(n_words + 1, np.int64), 0
 
@@ -239,8 +259,8 @@ def candidate_windows(records: DataFrame) -> DataFrame:
 
 
 class Scorer:
-    def __init__(self, df: np.ndarray, n: int):
-        self.ex = Exemplars()
+    def __init__(self, df: np.ndarray, n: int, ex: Exemplars | None = None):
+        self.ex = ex or Exemplars()
         idf = np.log1p(n / (1.0 + df)) if n else np.ones(len(df))
         self.weight = np.append(idf, max(np.median(idf), idf.max() / 2))
         self.mass = [self.weight[i].sum() for i in self.ex.ids]
@@ -292,17 +312,41 @@ class Scorer:
                 best = (kind, cover)
         if not best[0] and ex.slot in held and against < MIN_COVERAGE:
             best = ("slot", w[ex.slot] / whole)
+        return best if best[0] or against >= MIN_COVERAGE else self.together(ids, found)
+
+    def together(self, ids: list[int], found: dict[int, float]) -> tuple[str, float]:
+        """(kind, coverage) of a window that several exemplars of one kind cover: a wording between theirs. Words must also stand in pairs as they do in them."""
+        ex, w = self.ex, self.weight
+        whole, held = sum(w[i] for i in ids), set(ids)
+        ordered = set(zip(ids, ids[1:], strict=False))
+        least = MIN_PART if len(held) > 1 else MIN_ONE
+        best = ("", 0.0)
+        for kind in ("error", "script", "filler", "rendering"):
+            parts = [e for e in found if ex.kind[e] == kind and found[e] >= least * self.mass[e]]
+            got: set[int] = set()
+            paired: set[tuple[int, int]] = set()
+            for _ in range(MOST_PARTS):  # the one that adds most
+                e = max(parts, key=lambda e: (sum(w[i] for i in held.intersection(ex.ids[e]) - got), -e), default=None)
+                if e is None or held.intersection(ex.ids[e]) <= got:
+                    break
+                got |= held.intersection(ex.ids[e])
+                paired |= ex.pairs[e] & ordered
+            if not got:
+                continue
+            cover, rarest = sum(w[i] for i in ids if i in got) / whole, sorted((w[i] for i in got), reverse=True)[:2]
+            if cover >= MIN_UNION and sum(rarest) >= MIN_RARITY * len(rarest) * w[-1] and (paired or cover >= MIN_ALONE) and cover > best[1]:
+                best = (kind, cover)
         return best
 
 
-def residue_windows(records: DataFrame) -> DataFrame:
+def residue_windows(records: DataFrame, exemplars: Pairs = DEFAULT) -> DataFrame:
     """(src, rec_id, kind, coverage) of every residue window of (src, rec_id, text) or (src, rec_id, text, title), where text begins with the title."""
-    windows = candidate_windows(records)
+    windows = candidate_windows(records, exemplars)
     counts = {r[0]: r[1] for r in windows.where("word is not null").groupBy("word").agg(F.sum("n")).collect()}  # at most the vocabulary's size
-    df, n = np.array([counts.get(k, 0) for k in range(len(Exemplars().vocabulary))], np.float64), int(counts.get(-1, 0))
+    df, n = np.array([counts.get(k, 0) for k in range(len(Exemplars(exemplars).vocabulary))], np.float64), int(counts.get(-1, 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(df, n)
+        scorer = Scorer(df, n, Exemplars(exemplars))
         cache: dict[tuple, tuple[str, float]] = {}
         for b in batches:
             values, offsets, cuts, wholes = b.column(2).flatten().to_pylist(), b.column(2).offsets.to_pylist(), b.column(3).to_pylist(), b.column(4)
@@ -325,14 +369,22 @@ def residue_windows(records: DataFrame) -> DataFrame:
     return windows.where("word is null").select("src", "rec_id", "window", "cut", "whole").mapInArrow(run, "src string, rec_id bigint, kind string, coverage double")
 
 
+def exemplar_pairs(df: DataFrame, most: int = 5_000) -> Pairs:
+    """A table (kind, text) of labelled exemplars as pairs; kinds are those of EXEMPLARS, and 'content' for counterexamples. More than `most` are an error."""
+    rows = df.where("kind is not null and text is not null").select("kind", "text").distinct().orderBy("kind", "text").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} exemplars")
+    return tuple((r[0], r[1]) for r in rows)
+
+
 def record_texts(df: DataFrame, src: str, key: str, title: str = "title", body: str = "body_text") -> DataFrame:
     """(src, rec_id, text, title): the title, a break, and the body of each record; and the title."""
     return df.select(F.lit(src).alias("src"), F.col(key).cast("bigint").alias("rec_id"), F.concat_ws("\n", F.col(title), F.col(body)).alias("text"), F.col(title).alias("title"))
 
 
-def residue_records(records: DataFrame) -> DataFrame:
+def residue_records(records: DataFrame, exemplars: Pairs = DEFAULT) -> DataFrame:
     """(src, rec_id) of the records that hold residue; records is (src, rec_id, text) or (src, rec_id, text, title)."""
-    return residue_windows(records).select("src", "rec_id").dropDuplicates()
+    return residue_windows(records, exemplars).select("src", "rec_id").dropDuplicates()
 
 
 def without_residue(df: DataFrame, src: str, key: str, found: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import numpy as np
+
 import pytest
 
 from corpusmill.llm import queries, residue
@@ -53,3 +55,51 @@ def test_exemplars_find_themselves(kind):
 
 def test_query(spark, data):
     assert queries.p4_found(spark, data).columns == ["src", "rec_id"]
+
+
+def test_wordings_between_exemplars(spark):
+    """Wordings that no exemplar has as they are, and content of the same words."""
+    new = ["Please enable JavaScript in this browser to continue", "The requested page could not be found on the server", "Sorry, we can't find that page", "Your browser doesn't support JavaScript", "Bitte JavaScript im Browser aktivieren"]
+    content = ["Please find the page of the plan that names your adviser.", "Your server of choice may view the account at any time.", "We support a range of funds that you can access in a few minutes.", "The request for a new plan was not found to be in order."]
+    talk = ["Household plans change over the years and the adviser reviews the page of the plan with them.", "You can access a new account in minutes and request support in order to view it at any time.", "It was found that a request may take a few minutes of your time."]
+    plain = [(k + 100, talk[k % 3], "A plan") for k in range(210)]
+    df = spark.createDataFrame([("t", i, t, "A title") for i, t in enumerate([*new, *content])] + [("t", *p) for p in plain], "src string, rec_id bigint, text string, title string")
+    got = {r.rec_id for r in residue.residue_records(df).collect()}
+    assert len(got & set(range(len(new)))) >= 4 and not {i for i in got if i >= len(new)}
+
+
+def test_exemplars_as_a_table(spark):
+    pairs = residue.exemplar_pairs(spark.createDataFrame([("error", "The hamster is asleep"), ("error", None), (None, "x"), ("content", "The hamster is asleep in the story")], "kind string, text string"))
+    df = spark.createDataFrame([("t", 1, "The hamster is asleep", None), ("t", 2, "Page not found", None), ("t", 3, "The hamster is asleep in the story", None), ("t", 4, "Dear {{name}}", None)], "src string, rec_id bigint, text string, title string")
+    assert {r.rec_id for r in residue.residue_records(df, pairs).collect()} == {1, 4}
+
+
+def test_leave_one_wording_out(spark, data):
+    """The records of the tables are still found when the exemplars of one of their wordings are taken out of the set."""
+    records = queries._records(spark, data.replace("sf0.001", "sf0.01"))
+    windows = residue.candidate_windows(records)
+    ex = residue.Exemplars()
+    counts = {r.word: r.n for r in windows.where("word is not null").groupBy("word").sum("n").withColumnRenamed("sum(n)", "n").collect()}
+    df = np.array([counts.get(k, 0) for k in range(len(ex.vocabulary))], np.float64)
+    judge = lambda s, r: s.judge(tuple(r.window)) if r.cut is None else s.judge_part(tuple(r.window), r.cut, tuple(r.whole))
+    scorer = residue.Scorer(df, counts[-1])
+    rows_ = [r for r in windows.where("word is null").collect() if judge(scorer, r)[0]]
+    by_record, kept, tried, found = {}, {}, 0, 0
+    for r in rows_:
+        by_record.setdefault((r.src, r.rec_id), []).append(r)
+    for rows_of in by_record.values():
+        if any(judge(scorer, r)[0] in ("slot", "loose") for r in rows_of):
+            continue
+        for wording in {tuple(r.window) for r in rows_of}:
+            if wording not in kept:
+                mass = lambda s: sum(scorer.weight[i] for i in s)
+                same = lambda ids: mass(set(ids) & set(wording)) >= 0.95 * max(mass(ids), mass(set(wording)))  # noqa: E731, B023
+                pairs = tuple((k, " ".join(ws)) for k, ws, ids in zip(ex.kind, ex.words, ex.ids, strict=True) if k in ("content", "slot", "loose") or not same(ids))
+                less = residue.Exemplars(pairs)
+                place = {w: i for i, w in enumerate(less.vocabulary)}
+                kept[wording] = (residue.Scorer(np.array([df[ex.vocabulary.index(w)] for w in less.vocabulary]), counts[-1], less), [place.get(w, len(place)) for w in ex.vocabulary] + [len(place)])
+            s, number = kept[wording]
+            tried += 1
+            again = (s.judge(tuple(number[i] for i in r.window)) if r.cut is None else s.judge_part(tuple(number[i] for i in r.window), r.cut, tuple(number[i] for i in r.whole)) for r in rows_of)
+            found += any(kind for kind, _ in again)
+    assert tried > 20 and found >= 0.85 * tried  # 0.88 on these few records; README has the share at sf 0.1
