@@ -259,14 +259,14 @@ def contacts(spark: SparkSession, d: str) -> DataFrame:
     return pages.contacts(table(spark, d, "page_capture")).withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@query("with l as (select facts_id, unnest([{'network': 'linkedin', 'address': auto_filled.social_links.linkedin}, {'network': 'twitter', 'address': auto_filled.social_links.twitter}, {'network': 'facebook', 'address': auto_filled.social_links.facebook}]) x from company_facts) select x.network network, count(x.address)::bigint n, count(distinct x.address)::bigint addresses from l group by 1")
+@query("with l as (select facts_id, unnest([{'network': 'linkedin', 'address': auto_filled.social_links.linkedin}, {'network': 'twitter', 'address': auto_filled.social_links.twitter}, {'network': 'facebook', 'address': auto_filled.social_links.facebook}, {'network': 'youtube', 'address': auto_filled.social_links.youtube}, {'network': 'instagram', 'address': auto_filled.social_links.instagram}]) x from company_facts) select x.network network, count(x.address)::bigint n, count(distinct x.address)::bigint addresses from l group by 1")
 def social_links(spark: SparkSession, d: str) -> DataFrame:
     s = F.col("auto_filled")["social_links"]
-    rows = table(spark, d, "company_facts").select(F.inline(F.array(*[F.struct(F.lit(k).alias("network"), s[k].alias("address")) for k in ("linkedin", "twitter", "facebook")])))
+    rows = table(spark, d, "company_facts").select(F.inline(F.array(*[F.struct(F.lit(k).alias("network"), s[k].alias("address")) for k in ("linkedin", "twitter", "facebook", "youtube", "instagram")])))
     return rows.groupBy("network").agg(F.count("address").alias("n"), F.countDistinct("address").alias("addresses"))
 
 
-@query()
+@query("with l as (select competitor firm, facts_id, unnest([{'p': 0, 'h': replace(auto_filled.social_links.linkedin, 'linkedin.example', 'linkedin.com')}, {'p': 1, 'h': replace(auto_filled.social_links.twitter, 'twitter.example', 'twitter.com')}, {'p': 2, 'h': replace(auto_filled.social_links.facebook, 'facebook.example', 'facebook.com')}, {'p': 3, 'h': replace(auto_filled.social_links.youtube, 'youtube.example', 'youtube.com')}]) x from company_facts), m as (select firm, facts_id, x.p p, unnest([{'network': 'linkedin', 'm': nullif(regexp_extract(x.h, '(?i)linkedin\\.com/(company|in|school)/[^\\s\"''?#]+', 0), '')}, {'network': 'twitter', 'm': nullif(regexp_extract(x.h, '(?i)(twitter\\.com|x\\.com)/[A-Za-z0-9_]+', 0), '')}, {'network': 'facebook', 'm': nullif(regexp_extract(x.h, '(?i)facebook\\.com/[^\\s\"''?#]+', 0), '')}, {'network': 'youtube', 'm': nullif(regexp_extract(x.h, '(?i)(youtube\\.com/(channel|user|@[^\\s\"''?#]+)|youtu\\.be/[^\\s\"''?#]+)', 0), '')}, {'network': 'instagram', 'm': nullif(regexp_extract(x.h, '(?i)instagram\\.com/[^\\s\"''?#]+', 0), '')}]) y from l where x.h is not null and x.h <> '') select firm, y.network network, case when starts_with(y.m, 'http') then y.m else 'https://' || y.m end address from m where y.m is not null qualify row_number() over (partition by firm, y.network order by facts_id, p) = 1")
 def social_mining(spark: SparkSession, d: str) -> DataFrame:
     """Addresses of networks in captures, on captures whose links are the catalog's social links."""
     s = F.col("auto_filled")["social_links"]
@@ -355,12 +355,29 @@ def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
     return search.ranked(index, "Roth conversion, trustee", 10, prefix=False, fuzzy=0).select("id", F.round("score", 4).alias("score"))
 
 
-@query()
+_SEARCH = (
+    r"with src as (select post_id, coalesce(firm, '') firm, body_text, replace(concat_ws('-', file, post_id::varchar), '.md', '') doc, coalesce(array_to_string(tags, ' '), '') tags, substring(coalesce(nullif(trim(regexp_replace(coalesce(title, 'Untitled'), '(?s)\s+[—–|]\s+.*', '')), ''), trim(coalesce(title, 'Untitled'))), 1, 200) title from post_index_entry where url is not null qualify row_number() over (partition by url order by captured desc nulls last, post_id desc) = 1), "
+    + _SECTIONS.replace("post_index_entry", "src")
+    + r""", sect as (select firm || '::' || doc || '::' || case when nth > 1 then base || '-' || nth else base end id, firm, doc, tags, heading, case when nth > 1 then base || '-' || nth else base end anchor, anchored.body from anchored join src using (post_id)),
+fld as (select id, unnest([{'f': 'firm', 'b': 4.0, 't': firm}, {'f': 'heading', 'b': 3.0, 't': heading}, {'f': 'tags', 'b': 2.0, 't': tags}, {'f': 'body', 'b': 1.0, 't': body}]) x from sect),
+toks as (select id, x.f f, x.b b, list_filter(regexp_split_to_array(lower(coalesce(x.t, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') ts from fld),
+tot as (select f, count(*) n, avg(len(ts)) mean from toks group by f),
+post as (select term, f, b, id, l, count(*) tf from (select unnest(ts) term, f, b, id, len(ts) l from toks) group by all),
+df as (select term, f, count(*) df from post group by all),
+word as (select unnest(['a', 'benefciary', 'for', 'form', 'vet']) w),
+hit as (select term, w, greatest(case when term = w then 1.0 else 0 end, case when starts_with(term, w) and term <> w then 0.375 * length(w) / (length(w) + 0.3 * (length(term) - length(w))) else 0 end, case when levenshtein(term, w) between 1 and least(6, round(0.2 * length(w))) then 0.45 * length(w) / (length(w) + levenshtein(term, w)) else 0 end) wt from (select distinct term from df), word),
+want as (select term, sum(wt) wt from hit where wt > 0 group by term),
+sc as (select id, sum(b * wt * ln(1 + (n - df + 0.5) / (df + 0.5)) * (0.5 + tf * 2.2 / (tf + 1.2 * (0.3 + 0.7 * l / mean)))) score from post join want using (term) join df using (term, f) join tot using (f) group by id)
+select id, round(score, 2) score, firm, doc, heading, anchor from (select * from sc order by sc.score desc, id limit 8) join sect using (id)"""
+)
+
+
+@query(_SEARCH)
 def section_search(spark: SparkSession, d: str) -> DataFrame:
     """Ranked sections with boosted fields, prefixes and misspellings."""
     rows = materialize(kb.post_sections(table(spark, d, "post_index_entry")))
     hits = search.ranked(kb.section_index(rows), "benefciary form for a vet", search.clamp_k("8"), search.BOOSTS)
-    return hits.join(rows.select("id", "firm", "doc", "heading", "anchor", "snippet", "words"), "id").select("id", v.rounded(F.col("score")).alias("score"), "firm", "doc", "heading", "anchor", "snippet", "words")
+    return hits.join(rows.select("id", "firm", "doc", "heading", "anchor"), "id").select("id", F.round("score", 2).alias("score"), "firm", "doc", "heading", "anchor")
 
 
 _VOCAB = "voc as (select distinct unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda t: t <> '')) term from documents where text is not null)"
@@ -406,36 +423,60 @@ def catalog_ranks(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "firm_metadata").select("meta_id", catalog.catalog_rank(t).cast("bigint").alias("catalog_rank"), catalog.landing_rank(t).cast("bigint").alias("landing_rank"))
 
 
-def _csv_sql(c: str) -> str:
-    t = f"array_to_string({c}, ', ')" if c in ("wealth_tiers_served", "positioning_claims", "vulnerabilities", "tags", "related_competitors") else f"{c}::varchar"
-    s = f"coalesce({t}, '')"
-    return f"""case when regexp_matches({s}, '[",\\n]') then '"' || replace({s}, '"', '""') || '"' else {s} end"""
+_CSV = (
+    "competitor slug summary_line website competitor_type threat_level confidence team_size advisor_count employee_count branch_count geographic_scope headquarters_city headquarters_state aum_usd aum_as_of pricing_model fee_schedule_published "
+    "fee_aum_pct_low fee_aum_pct_high fee_flat_low_usd fee_flat_high_usd min_account_usd wealth_tiers_served segment_early_adults segment_mid_career_401k regulatory_jurisdiction regulator sec_registered crd_number sec_number ownership_structure "
+    "fiduciary_stated_explicitly fee_only_stated_explicitly disciplinary_disclosures disciplinary_disclosure_count media_presence design_tone positioning_claims vulnerabilities tags related_competitors last_updated next_review_by review_cadence_days"
+).split()  # the columns in SQL's own list
 
 
-_CSV = [c for c in catalog.CSV_HEADERS if not c.startswith("fee_aum_pct")]  # doubles print differently in the two engines
+def _csv_sql(c: str) -> str:
+    t = f"array_to_string({c}, ', ')" if c in ("wealth_tiers_served", "positioning_claims", "vulnerabilities", "tags", "related_competitors") else f"rtrim(rtrim({c}::decimal(30, 10)::varchar, '0'), '.')" if c.startswith("fee_aum") else f"{c}::varchar"
+    s = f"coalesce({t}, '')"
+    return f"""case when regexp_matches({s}, '[",\n]') then '"' || replace({s}, '"', '""') || '"' else {s} end"""
 
 
 @query(f"select meta_id, {" || ',' || ".join(_csv_sql(c) for c in _CSV)} line from firm_metadata")
 def csv_lines(spark: SparkSession, d: str) -> DataFrame:
     df = table(spark, d, "firm_metadata")
-    return df.select("meta_id", catalog.csv_line(df, _CSV).alias("line"))
-
-
-def _cell_sql(c: str) -> str:
-    if c in ("fee_schedule_published", "sec_registered", "fiduciary_stated_explicitly", "disciplinary_disclosures"):
-        return f"case when {c} then 'yes' when not {c} then 'no' else '—' end"
-    return "coalesce(nullif(array_to_string(wealth_tiers_served, ', '), ''), '—')" if c == "wealth_tiers_served" else f"coalesce({c}::varchar, '—')"
-
-
-@query("with m as (select meta_id firm, unnest([" + ", ".join(f"{{'section': '{g}', 'dimension': '{label}', 'value': {_cell_sql(c)}}}" for g, rows in catalog.MATRIX.items() for label, c in rows.items()) + "]) x from firm_metadata) select x.section as section, x.dimension dimension, firm, x.value as value from m")
+    return df.select("meta_id", catalog.csv_line(df).alias("line"))
+
+
+# The matrix's rows in SQL, written out here and not taken from the operator.
+_MATRIX_SQL = """with m as (select meta_id firm, unnest([
+{'section': 'Threat & confidence', 'dimension': 'Threat level', 'value': coalesce(threat_level, '—')},
+{'section': 'Threat & confidence', 'dimension': 'Confidence', 'value': coalesce(confidence, '—')},
+{'section': 'Threat & confidence', 'dimension': 'Competitor type', 'value': coalesce(competitor_type, '—')},
+{'section': 'Scale & scope', 'dimension': 'Team size', 'value': coalesce(team_size, '—')},
+{'section': 'Scale & scope', 'dimension': 'Branches', 'value': coalesce(branch_count::varchar, '—')},
+{'section': 'Scale & scope', 'dimension': 'Geography', 'value': coalesce(geographic_scope, '—')},
+{'section': 'Pricing', 'dimension': 'Pricing model', 'value': coalesce(pricing_model, '—')},
+{'section': 'Pricing', 'dimension': 'Fee schedule public', 'value': case when fee_schedule_published then 'yes' when not fee_schedule_published then 'no' else '—' end},
+{'section': 'Pricing', 'dimension': 'Wealth tiers', 'value': coalesce(nullif(array_to_string(wealth_tiers_served, ', '), ''), '—')},
+{'section': 'Our target segments', 'dimension': 'Early adults (first investment)', 'value': coalesce(segment_early_adults, '—')},
+{'section': 'Our target segments', 'dimension': 'Mid-career 401(k)', 'value': coalesce(segment_mid_career_401k, '—')},
+{'section': 'Regulatory / structure', 'dimension': 'Jurisdiction', 'value': coalesce(regulatory_jurisdiction, '—')},
+{'section': 'Regulatory / structure', 'dimension': 'Regulator', 'value': coalesce(regulator, '—')},
+{'section': 'Regulatory / structure', 'dimension': 'SEC registered', 'value': case when sec_registered then 'yes' when not sec_registered then 'no' else '—' end},
+{'section': 'Regulatory / structure', 'dimension': 'CRD', 'value': coalesce(crd_number, '—')},
+{'section': 'Regulatory / structure', 'dimension': 'Ownership', 'value': coalesce(ownership_structure, '—')},
+{'section': 'Regulatory / structure', 'dimension': 'Fiduciary stated', 'value': case when fiduciary_stated_explicitly then 'yes' when not fiduciary_stated_explicitly then 'no' else '—' end},
+{'section': 'Regulatory / structure', 'dimension': 'Fee-only stated', 'value': case when fee_only_stated_explicitly then 'yes' when not fee_only_stated_explicitly then 'no' else '—' end},
+{'section': 'Regulatory / structure', 'dimension': 'Disciplinary disclosures', 'value': case when disciplinary_disclosures then 'yes' when not disciplinary_disclosures then 'no' else '—' end},
+{'section': 'Brand & voice', 'dimension': 'Media presence', 'value': coalesce(media_presence, '—')},
+{'section': 'Brand & voice', 'dimension': 'Design tone', 'value': coalesce(design_tone, '—')}
+]) x from firm_metadata) """
+
+
+@query(_MATRIX_SQL + "select x.section as section, x.dimension dimension, firm, x.value as value from m")
 def matrix_long(spark: SparkSession, d: str) -> DataFrame:
     return catalog.matrix(table(spark, d, "firm_metadata"), "meta_id")
 
 
-@query("with m as (select competitor_type t, count(*) n, count(aum_usd) a from firm_metadata where competitor_type in ('ria', 'software', 'media_brand') group by 1) select 'rows' as dimension, max(case when t = 'ria' then n end)::bigint ria, max(case when t = 'software' then n end)::bigint software, max(case when t = 'media_brand' then n end)::bigint media_brand from m")
+@query(_MATRIX_SQL + "select x.section as section, x.dimension dimension, max(case when firm = 1 then x.value end) \"1\", max(case when firm = 2 then x.value end) \"2\", max(case when firm = 3 then x.value end) \"3\" from m group by 1, 2")
 def matrix_wide(spark: SparkSession, d: str) -> DataFrame:
-    df = table(spark, d, "firm_metadata").groupBy(F.lit("rows").alias("dimension")).pivot("competitor_type", ["ria", "software", "media_brand"]).agg(F.count(F.lit(1)))
-    return df.select("dimension", *[F.col(c) for c in ("ria", "software", "media_brand")])
+    """The matrix with a column for each of three given firms, which are the query's parameter."""
+    return catalog.matrix_wide(table(spark, d, "firm_metadata"), [1, 2, 3], "meta_id")
 
 
 @query("select meta_id, coalesce(nullif(array_to_string(list_transform(tags, lambda t: '`' || t || '`'), ', '), ''), '—') tags from firm_metadata")
@@ -502,27 +543,56 @@ def upserted_facts(spark: SparkSession, d: str) -> DataFrame:
 # -- registry -----------------------------------------------------------------------------------------------------------------
 
 
-@query("select firm_source_id, firm_name legal_name, coalesce(firm_ia_full_sec_number, firm_ia_sec_number) sec_number, case when json_valid(firm_ia_address_details) then nullif(concat_ws(', ', nullif(firm_ia_address_details ->> '$.officeAddress.street1', ''), nullif(firm_ia_address_details ->> '$.officeAddress.street2', ''), nullif(firm_ia_address_details ->> '$.officeAddress.city', ''), nullif(firm_ia_address_details ->> '$.officeAddress.state', ''), nullif(firm_ia_address_details ->> '$.officeAddress.postalCode', ''), nullif(firm_ia_address_details ->> '$.officeAddress.country', '')), '') end headquarters, coalesce(firm_ia_disclosure_fl, '') = 'Y' disciplinary_disclosures, array_to_string(list_filter(coalesce(firm_other_names, []), lambda n: n <> firm_name), '; ') dbas from iapd_hit where firm_ia_address_details is null or json_valid(firm_ia_address_details)")
+@query("select firm_source_id, firm_name legal_name, coalesce(firm_ia_full_sec_number, firm_ia_sec_number) sec_number, case when json_valid(firm_ia_address_details) then nullif(concat_ws(', ', nullif(firm_ia_address_details ->> '$.officeAddress.street1', ''), nullif(firm_ia_address_details ->> '$.officeAddress.street2', ''), nullif(firm_ia_address_details ->> '$.officeAddress.city', ''), nullif(firm_ia_address_details ->> '$.officeAddress.state', ''), nullif(firm_ia_address_details ->> '$.officeAddress.postalCode', ''), nullif(firm_ia_address_details ->> '$.officeAddress.country', '')), '') end headquarters, coalesce(firm_ia_disclosure_fl, '') = 'Y' disciplinary_disclosures, array_to_string(list_filter(coalesce(firm_other_names, []), lambda n: n <> firm_name), '; ') dbas from iapd_hit")
 def registry_sections(spark: SparkSession, d: str) -> DataFrame:
-    hits = table(spark, d, "iapd_hit").where(F.col("firm_ia_address_details").isNull() | nested.valid_json(F.col("firm_ia_address_details")).isNotNull())
-    return registry.registry_section(hits).select(F.col("crd_number").alias("firm_source_id"), "legal_name", "sec_number", "headquarters", "disciplinary_disclosures", F.col("dbas_and_affiliates").alias("dbas"))
+    return registry.registry_section(table(spark, d, "iapd_hit")).select(F.col("crd_number").alias("firm_source_id"), "legal_name", "sec_number", "headquarters", "disciplinary_disclosures", F.col("dbas_and_affiliates").alias("dbas"))
 
 
-@query()
+@query(
+    f"with q as (select distinct competitor query, list_filter(regexp_split_to_array({_LEGAL.format('competitor')}, '\\s+'), lambda w: length(w) > 2) words from firm_metadata where competitor is not null), "
+    f"n as (select distinct firm_source_id, {_LEGAL.format('x')} name from (select firm_source_id, firm_name x from iapd_hit union all select firm_source_id, unnest(firm_other_names) from iapd_hit) where x is not null), "
+    "s as (select query, firm_source_id, max(len(words) + case when name = array_to_string(words, ' ') then 5 else 0 end)::bigint score from q, n where len(words) > 0 and len(list_filter(words, lambda w: contains(name, w))) = len(words) group by all) "
+    "select query, firm_source_id, score from s qualify row_number() over (partition by query order by score desc, firm_source_id) = 1"
+)
 def registry_matches(spark: SparkSession, d: str) -> DataFrame:
     """The best registry hit of each firm by the words of its name."""
-    return registry.best_hits(table(spark, d, "firm_metadata").select(F.col("competitor").alias("query")).where("query is not null").distinct(), table(spark, d, "iapd_hit"))
+    got = registry.best_hits(table(spark, d, "firm_metadata").select(F.col("competitor").alias("query")).where("query is not null").distinct(), table(spark, d, "iapd_hit"))
+    return got.withColumn("score", F.col("score").cast("bigint"))
 
 
-_FILING = "Approximately how many employees do you have? Include full- and part-time but do not include any clerical workers. 1,204 perform investment advisory functions (including research)? 37 registered with one or more state securities authorities as investment adviser representatives? 5 Discretionary: (a) $ 1,250,000,000 (d) 900 Non-Discretionary: (b) $ 0 (e) 0 Total: (c) $ 1,250,000,000 (f) 912 DRP - Regulatory Disclosure signed 03/14/2023 amended 11/02/2024"
+def _filings(spark: SparkSession, d: str) -> DataFrame:
+    """(meta_id, text): a filing in the regulator's wording for each snapshot, with its numbers; no table holds filings."""
+    number = lambda c: F.format_number(F.coalesce(c, F.lit(0)), 0)
+    parts = (
+        F.lit("Approximately how many employees do you have? Include full- and part-time but do not include any clerical workers. "), number("employee_count"), F.lit("\nperform investment advisory functions (including research)? "), number("advisor_count"),
+        F.lit("\nregistered with one or more state securities authorities as investment adviser representatives? "), number("branch_count"), F.lit("\nDiscretionary: (a) $ "), number("aum_usd"), F.lit(" (d) 900 Non-Discretionary: (b) $ 0 (e) 0 Total: (c) $ "), number("aum_usd"), F.lit(" (f) "), number("meta_id"),
+        F.when(F.col("disciplinary_disclosures"), "\nDRP - Regulatory Disclosure").otherwise(""), F.lit("\nsigned 03/14/2023 amended 11/02/2024\n"), F.coalesce("summary_line", F.lit("")),
+    )
+    return table(spark, d, "firm_metadata").select("meta_id", F.concat(*parts).alias("text"))
 
 
-@query("select doc_id % 7 as filing, 1204::bigint + (doc_id % 7) employee_count, 1250000000::bigint aum_total_usd, 912::bigint account_count_total, 1::bigint filed_drp_count, true has_filed_drps, '2024-11-02' filing_date, count(*)::bigint n from documents group by all")
+@query("select meta_id, coalesce(employee_count, 0)::bigint employee_count, coalesce(advisor_count, 0)::bigint advisor_count, coalesce(branch_count, 0)::bigint iar_state_count, coalesce(aum_usd, 0)::bigint aum_total_usd, 0::bigint aum_nondiscretionary_usd, meta_id::bigint account_count_total, coalesce(disciplinary_disclosures, false)::int::bigint filed_drp_count, coalesce(disciplinary_disclosures, false) has_filed_drps, '2024-11-02' filing_date from firm_metadata")
 def filing_fields(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("doc_id") % 7
-    texts = table(spark, d, "documents").select(k.alias("filing"), F.replace(F.lit(_FILING), F.lit("1,204"), F.concat(F.lit("1,"), (k + 204).cast("string"))).alias("t"))
-    rows = texts.select("filing", *registry.filing_fields(F.col("t")))
-    return rows.groupBy("filing", "employee_count", "aum_total_usd", "account_count_total", F.col("filed_drp_count").cast("bigint").alias("filed_drp_count"), "has_filed_drps", "filing_date").agg(F.count("*").alias("n"))
+    texts = _filings(spark, d)
+    kept = ("employee_count", "advisor_count", "iar_state_count", "aum_total_usd", "aum_nondiscretionary_usd", "account_count_total", "filed_drp_count")
+    return texts.select("meta_id", *registry.filing_fields(F.col("text"))).select("meta_id", *[F.col(c).cast("bigint").alias(c) for c in kept], "has_filed_drps", "filing_date")
+
+
+@query(f"with {LAST_META} select slug, coalesce(employee_count, 0)::bigint employee_count, coalesce(advisor_count, 0)::bigint advisor_count, coalesce(aum_usd, 0)::bigint aum_usd, '2024-11-02' aum_as_of from last where slug is not null")
+def filing_upserts(spark: SparkSession, d: str) -> DataFrame:
+    """From the filings' text to the updated records: parsed, then put over each firm's last snapshot."""
+    last = _last_meta(spark, d).where("slug is not null")
+    parsed = _filings(spark, d).join(last.select("meta_id", "slug"), "meta_id").select("slug", *registry.filing_fields(F.col("text")))
+    new = parsed.select("slug", *[F.col(c).cast("bigint").alias(c) for c in ("employee_count", "advisor_count")], F.col("aum_total_usd").cast("bigint").alias("aum_usd"), F.col("filing_date").alias("aum_as_of"))
+    return catalog.upsert(last, new, "slug", ["employee_count", "advisor_count", "aum_usd", "aum_as_of"]).select("slug", "employee_count", "advisor_count", "aum_usd", "aum_as_of")
+
+
+@query("with f as (select competitor, max_by(auto_filled.sec_iapd, facts_id) s from (select * from company_facts where competitor is not null) group by competitor), m as (select distinct competitor from firm_metadata where competitor is not null) select coalesce(f.competitor, m.competitor) competitor, case when f.competitor is null then 'no facts' when m.competitor is null then 'no metadata' when not coalesce(s.matched, false) then 'not matched' when coalesce(s.adv_pdf_url, '') = '' then 'no address' end reason from f full join m on f.competitor = m.competitor")
+def filing_skips(spark: SparkSession, d: str) -> DataFrame:
+    facts = table(spark, d, "company_facts").where("competitor is not null").select("competitor", "facts_id", F.col("auto_filled.sec_iapd").alias("s"))
+    facts = facts.groupBy("competitor").agg(F.expr("max_by(s, facts_id) filter (where s is not null)").alias("s"), F.lit(True).alias("f"))
+    both = facts.join(table(spark, d, "firm_metadata").where("competitor is not null").select("competitor", F.lit(True).alias("m")).distinct(), "competitor", "full_outer")
+    return both.select("competitor", registry.skip_reason(F.col("f"), F.col("m"), F.col("s.matched"), F.col("s.adv_pdf_url")).alias("reason"))
 
 
 # -- quality and refresh ------------------------------------------------------------------------------------------------------
@@ -547,9 +617,9 @@ def repeated_titles(spark: SparkSession, d: str) -> DataFrame:
 _PHRASES = ["best interest", "no reason to prefer", "the honest answer", "guaranteed"]
 
 
-@query("with c as (select doc_id, unnest([" + ", ".join(f"{{'phrase': '{p}', 'n': (length(text) - length(replace(lower(text), '{p}', ''))) // {len(p)}}}" for p in _PHRASES) + "]) x from documents where text is not null and length(lower(text)) = length(text)) select doc_id, x.phrase phrase, x.n::bigint n from c where x.n > 0")
+@query("with c as (select doc_id, unnest([" + ", ".join(f"{{'phrase': '{p}', 'n': (length(lower(text)) - length(replace(lower(text), '{p}', ''))) // {len(p)}}}" for p in _PHRASES) + "]) x from documents where text is not null) select doc_id, x.phrase phrase, x.n::bigint n from c where x.n > 0")
 def lexicon_review(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").where(F.length(F.lower("text")) == F.length("text")).select("doc_id", F.inline(tx.lexicon_hits(F.col("text"), _PHRASES)))
+    rows = table(spark, d, "documents").select("doc_id", F.inline(tx.lexicon_hits(F.col("text"), _PHRASES)))
     return rows.withColumn("n", F.col("n").cast("bigint"))
 
 
@@ -561,18 +631,16 @@ def drifted_mirrors(spark: SparkSession, d: str) -> DataFrame:
     return quality.drifted(a, b, "slug", "t")
 
 
-@query("select url, arg_min(post_id, (captured, post_id)) post_id from post_index_entry where url is not null group by url")
+@query("with p as (select * from post_index_entry where url is not null), o as (select url, post_id from p where captured < timestamp '2025-01-01'), n as (select url, arg_min(post_id, (captured, post_id)) post_id from p where captured >= timestamp '2025-01-01' group by url) select url, post_id from o union all select url, post_id from n where url not in (select url from o)")
 def appended_posts(spark: SparkSession, d: str) -> DataFrame:
-    """Captures of one year, then all later ones whose address is new."""
+    """Captures before a day, then all later ones whose address is new."""
     posts = table(spark, d, "post_index_entry").where("url is not null")
-    none = posts.where(F.lit(False))
-    return ingest.append_new(none, posts).select("url", "post_id")
+    return ingest.append_new(posts.where("captured < timestamp '2025-01-01'"), posts.where("captured >= timestamp '2025-01-01'")).select("url", "post_id")
 
 
-@query("select post_id, '---' || chr(10) || 'title: ' || coalesce('\"' || title || '\"', 'null') || chr(10) || 'date: ' || coalesce('\"' || post_date || '\"', 'null') || chr(10) || 'tags: [' || coalesce(array_to_string(list_transform(tags, lambda t: '\"' || t || '\"'), ', '), '') || ']' || chr(10) || '---' header from post_index_entry where title is null or not regexp_matches(title, '[\"\\\\\\\\\\n\\t]')")
+@query("select post_id, '---' || chr(10) || 'title: ' || coalesce(to_json(title)::varchar, 'null') || chr(10) || 'date: ' || coalesce(to_json(post_date)::varchar, 'null') || chr(10) || 'tags: [' || coalesce(array_to_string(list_transform(tags, lambda t: to_json(t)::varchar), ', '), '') || ']' || chr(10) || '---' header from post_index_entry")
 def post_headers(spark: SparkSession, d: str) -> DataFrame:
-    df = table(spark, d, "post_index_entry").where(F.col("title").isNull() | ~F.col("title").rlike('["\\\\\n\t]'))
-    return df.select("post_id", tx.front_matter({"title": F.col("title"), "date": F.col("post_date")}, {"tags": F.coalesce("tags", F.array().cast("array<string>"))}).alias("header"))
+    return table(spark, d, "post_index_entry").select("post_id", tx.front_matter({"title": F.col("title"), "date": F.col("post_date")}, {"tags": F.coalesce("tags", F.array().cast("array<string>"))}).alias("header"))
 
 
 @query(f"with {LAST_META}, c as (select firm, count(distinct url) n from post_index_entry where firm is not null group by firm) select slug, '- ' || trim(competitor) || ': ' || concat_ws(' · ', competitor_type, headquarters_state, case when aum_usd is not null then printf('$%.2fB', aum_usd / 1e9) end, case when coalesce(n, 0) = 1 then '1 post' else coalesce(n, 0) || ' posts' end) line from last left join c on slug = firm")
@@ -621,14 +689,18 @@ def firm_pages(spark: SparkSession, d: str) -> DataFrame:
     return kb.digest(table(spark, d, "firm_metadata"), table(spark, d, "post_index_entry")).select("slug", documents.firm_facts().alias("facts"))
 
 
-@query("with m as (select meta_id firm, unnest([" + ", ".join(f"{{'section': '{g}', 'dimension': '{label}', 'value': {_cell_sql(c)}}}" for g, rows in catalog.MATRIX.items() for label, c in rows.items()) + "]) x from firm_metadata) select x.section as section, x.dimension dimension, '| ' || x.section || ' / ' || x.dimension || ' | ' || string_agg(replace(x.value, '|', '\\|'), ' | ' order by firm) || ' |' line, (firm // 100)::bigint block from m group by 1, 2, firm // 100")
+@query(_MATRIX_SQL + "select x.section as section, x.dimension dimension, '| ' || x.section || ' / ' || x.dimension || ' | ' || string_agg(replace(x.value, '|', '\\|'), ' | ' order by firm) || ' |' line, (firm // 100)::bigint block from m group by 1, 2, firm // 100")
 def matrix_markdown(spark: SparkSession, d: str) -> DataFrame:
     return documents.matrix_markdown(catalog.matrix(table(spark, d, "firm_metadata"), "meta_id"), F.floor(F.col("firm") / 100))
 
 
-@query()
+@query("select firm, kind, count(*)::bigint entries, string_agg(coalesce(title, '') || '|' || coalesce(url, ''), chr(10) order by coalesce(title, '') || '|' || coalesce(url, '')) listed from (select firm, case when lower(coalesce(nullif(kind, ''), 'unknown')) = 'blog' then 'blog_index' else lower(coalesce(nullif(kind, ''), 'unknown')) end kind, trim(coalesce(title, '')) title, url from page_capture union all select firm, 'blog_post', trim(coalesce(title, '')), url from post_index_entry) group by firm, kind")
 def page_index_documents(spark: SparkSession, d: str) -> DataFrame:
-    return documents.index_document(_index(spark, d)).select("firm", "kind", "part", F.length("document").alias("chars"))
+    """The index's documents, read back: the entries of all parts of a firm and kind."""
+    parts = documents.index_document(_index(spark, d))
+    back = parts.select("firm", "kind", F.explode(F.from_json("document", "array<struct<title:string,url:string>>")).alias("e"))
+    line = F.concat_ws("|", F.coalesce("e.title", F.lit("")), F.coalesce("e.url", F.lit("")))
+    return back.select("firm", "kind", line.alias("line")).groupBy("firm", "kind").agg(F.count("*").alias("entries"), F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("listed"))
 
 
 @query("with f as (select distinct slug from firm_metadata where slug is not null), c as (select firm, count(distinct url) n from post_index_entry where firm is not null group by firm) select count(*)::bigint firms, count(n)::bigint with_posts, coalesce(sum(n), 0)::bigint posts, count_if(n is null)::bigint without_posts from f left join c on slug = firm")
@@ -656,10 +728,9 @@ def blog_addresses(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "page_capture").where("kind = 'blog' and firm is not null").groupBy("firm").agg(F.min("url").alias("blog"))
 
 
-@query("with e as (select distinct slug, related_competitors[1] r from firm_metadata where slug is not null) select r target, count(*)::bigint n from e where r is not null group by r")
+@query("with e as (select distinct slug, unnest(related_competitors) r from firm_metadata where slug is not null) select r target, count(*)::bigint n from e where r is not null group by r")
 def link_targets(spark: SparkSession, d: str) -> DataFrame:
-    first = F.try_element_at("related_competitors", F.lit(1)).alias("target")
-    return table(spark, d, "firm_metadata").where("slug is not null").select("slug", first).distinct().where("target is not null").groupBy("target").agg(F.count("*").alias("n"))
+    return catalog.edges(table(spark, d, "firm_metadata").where("slug is not null"), "slug", "related_competitors").groupBy("target").agg(F.count("*").alias("n"))
 
 
 @query("select firm, kind, source, count(*)::bigint n from (select firm, lower(coalesce(nullif(kind, ''), 'unknown')) kind, 'site' source from page_capture union all select firm, 'blog_post', 'blog' from post_index_entry) group by grouping sets ((firm), (kind, source), ())")
@@ -681,3 +752,101 @@ def events_by_hour(spark: SparkSession, d: str) -> DataFrame:
     """The windowed count of the streaming part over a table at rest; an addition to the capture pipeline."""
     got = ingest.windowed_counts(table(spark, d, "events"), "ts", "1 hour", "1 hour", "event_type")
     return got.select(F.col("window.start").alias("hour"), "event_type", "n")
+
+
+# -- further documents and checks -----------------------------------------------------------------------------------------------
+
+
+@query("with i as (select firm, file, post_id from post_index_entry), f as (select distinct firm, file from post_index_entry where body_text is not null and body_text <> '') select firm, file, post_id from i where (firm, file) in (select (firm, file) from f where firm is not null and file is not null)")
+def listed_posts(spark: SparkSession, d: str) -> DataFrame:
+    """Posts of the index whose file is there, that is, holds a text."""
+    posts = table(spark, d, "post_index_entry")
+    return kb.listed_posts(posts.select("firm", "file", "post_id"), posts.where("body_text <> ''"), "firm", "file")
+
+
+_CAVEATS = "cav as (select competitor, min(manual.notes) caveat from company_facts where competitor is not null and manual.notes <> '' group by competitor)"
+
+
+def _caveats(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "company_facts").where("competitor is not null and manual.notes <> ''").groupBy("competitor").agg(F.min("manual.notes").alias("caveat"))
+
+
+@query(f"with {_CAVEATS}, {LAST_META} select slug, competitor, caveat from last left join cav using (competitor)")
+def caveats(spark: SparkSession, d: str) -> DataFrame:
+    """Each firm with what people noted about it."""
+    return catalog.with_caveats(_last_meta(spark, d), _caveats(spark, d), "competitor").select("slug", "competitor", "caveat")
+
+
+@query(f"with {_CAVEATS}, {LAST_META}, src as (select post_id, coalesce(firm, '') firm, body_text, title from post_index_entry where url is not null qualify row_number() over (partition by url order by captured desc nulls last, post_id desc) = 1), {_SECTIONS.replace('post_index_entry', 'src')}, n as (select firm, count(*) n from anchored join src using (post_id) group by firm), c as (select firm, count(distinct url) posts from post_index_entry where firm is not null group by firm) select slug, meta_id, coalesce(posts, 0)::bigint posts, coalesce(posts, 0) > 0 has_corpus, coalesce(n, 0)::bigint sections, caveat from last left join cav using (competitor) left join n on slug = n.firm left join c on slug = c.firm")
+def digest_rows(spark: SparkSession, d: str) -> DataFrame:
+    meta = table(spark, d, "firm_metadata")
+    by_slug = _last_meta(spark, d).join(_caveats(spark, d), "competitor").select("slug", "caveat")
+    return kb.digest_rows(meta, table(spark, d, "post_index_entry"), by_slug).select("slug", "meta_id", "posts", "has_corpus", "sections", "caveat")
+
+
+_UNION = "select '{0}' as scope, post_id::varchar doc, ordinal::bigint ordinal, lvl::bigint as level, heading, case when nth > 1 then base || '-' || nth else base end anchor from anchored"
+
+
+@query(f"select * from (with {_SECTIONS} {_UNION.format('firm')}) union all select * from (with src as (select doc_id post_id, text body_text, title from documents), {_SECTIONS.replace('post_index_entry', 'src')} {_UNION.format('context')})")
+def section_union(spark: SparkSession, d: str) -> DataFrame:
+    """Sections of firms' posts and of context documents in one table."""
+    got = kb.section_union(("firm", table(spark, d, "post_index_entry"), "post_id", "body_text", "title"), ("context", table(spark, d, "documents"), "doc_id", "text", "title"))
+    return got.select("scope", "doc", F.col("ordinal").cast("bigint").alias("ordinal"), F.col("level").cast("bigint").alias("level"), "heading", "anchor")
+
+
+@query("select firm, post_id, row_number() over (partition by firm order by coalesce(post_date, '') desc, post_id)::bigint place from post_index_entry")
+def posts_by_date(spark: SparkSession, d: str) -> DataFrame:
+    return documents.posts_by_date(table(spark, d, "post_index_entry"), "firm", "post_date", "post_id").select("firm", "post_id", "place")
+
+
+@query(
+    f"with {LAST_META}, c as (select firm, count(distinct url) n from post_index_entry where firm is not null group by firm), f as (select distinct slug from firm_metadata where slug is not null), "
+    "doc as (select distinct firm slug, replace(coalesce(nullif(kind, ''), 'unknown'), ' ', '_') || '.md' as name from page_capture where firm is not null), "
+    "post as (select firm, min(post_date) date, min(title) title, url from post_index_entry where firm is not null and url is not null group by firm, url) "
+    "select slug, 0 part, 1::bigint place, '# ' || coalesce(competitor, slug) line from last where slug is not null union all "
+    "select slug, 1, 1, concat_ws(' · ', competitor_type, regulator, case when aum_usd is not null then printf('$%.2fB', aum_usd / 1e9) end, website, case when coalesce(n, 0) = 1 then '1 post' else coalesce(n, 0) || ' posts' end) from last left join c on slug = firm where slug is not null union all "
+    "select slug, 2, row_number() over (partition by slug order by name), '- [' || replace(regexp_replace(name, '\\.md$', ''), '_', ' ') || '](/' || slug || '/' || name || ')' from doc union all "
+    "select firm, 3, row_number() over (partition by firm order by coalesce(date, '') desc, url), '- ' || coalesce(date, 'undated') || ': [' || coalesce(title, 'Untitled') || '](' || url || ')' from post where firm in (select slug from f)"
+)
+def firm_page_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Firms' pages with facts, links to documents and all posts."""
+    firms = kb.digest(table(spark, d, "firm_metadata"), table(spark, d, "post_index_entry")).where("slug is not null")
+    docs = table(spark, d, "page_capture").where("firm is not null").select(F.col("firm").alias("slug"), F.concat(F.replace(tx.or_else(F.col("kind"), "unknown"), F.lit(" "), F.lit("_")), F.lit(".md")).alias("name")).distinct()
+    posts = table(spark, d, "post_index_entry").where("firm is not null and url is not null").groupBy("firm", "url").agg(F.min("post_date").alias("date"), F.min("title").alias("title"))
+    return documents.firm_page_lines(firms, docs, posts)
+
+
+@query(
+    "with h as (select meta_id, unnest(trajectory.aum_history) x from firm_metadata), r as (select meta_id, x.as_of a, x.value_usd v, try_strptime(x.as_of || substring('0001-01-01', length(x.as_of) + 1), '%Y-%m-%d')::date dd from h where x.as_of is not null and x.value_usd is not null), "
+    "l as (select meta_id, max((dd, a, v)) l from r where dd is not null group by meta_id), b as (select r.*, l.l[1] ld, l.l[2] la, l.l[3] lv from r join l using (meta_id) where dd is not null) "
+    "select meta_id, any_value(la) as_of, any_value(lv)::bigint as value, (max((dd, a, v)) filter (where dd <= ld - interval 12 month))[3]::bigint year_ago, (max((dd, a, v)) filter (where dd between ld - interval 36 month and ld - interval 24 month))[3]::bigint years_ago from b group by meta_id"
+)
+def history_spans(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "firm_metadata").select("meta_id", F.inline("trajectory.aum_history"))
+    return catalog.spans(rows, "meta_id", "as_of", "value_usd").select("meta_id", "as_of", F.col("value").cast("bigint").alias("value"), F.col("year_ago").cast("bigint").alias("year_ago"), F.col("years_ago").cast("bigint").alias("years_ago"))
+
+
+@query("with t as (select post_id, list_filter(list_transform(coalesce(tags, []), lambda t: lower(trim(replace(replace(coalesce(t, ''), ',', ' '), '\"', ' ')))), lambda t: length(t) between 1 and 39) l, nullif(trim(replace(coalesce(author, ''), '\"', ' ')), '') author from post_index_entry), u as (select post_id, author, l, unnest(l) t, generate_subscripts(l, 1) p from t), g as (select post_id, t, min(p) p from u group by all), k as (select post_id, array_to_string(list(t order by p)[1:10], ',') tags from g group by post_id) select t.post_id, author, coalesce(tags, '') tags from t left join k using (post_id)")
+def post_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """Author and tags of posts, from pages with meta tags built of the table's columns, as no table holds HTML."""
+    clean = lambda c: F.trim(F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit(" ")))
+    tags = F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda t: F.replace(F.replace(F.coalesce(t, F.lit("")), F.lit(","), F.lit(" ")), F.lit('"'), F.lit(" ")))
+    page = F.concat(F.lit('<head><meta name="keywords" content="'), F.array_join(tags, ","), F.lit('"><meta name="author" content="'), clean(F.col("author")), F.lit('"></head>'))
+    df = table(spark, d, "post_index_entry").select("post_id", page.alias("h"))
+    return df.select("post_id", hx.author(F.col("h")).alias("author"), F.array_join(hx.post_tags(F.col("h")), ",").alias("tags"))
+
+
+@query("select firm site, url from (select firm, url from page_capture where firm is not null and url is not null and url not like '%<%' and not regexp_matches(url, '\\s') and url <> '') group by all")
+def sitemap_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses of all pages, read from sitemaps behind two levels of indexes that robots files name; the files are built of the captures."""
+    own = table(spark, d, "page_capture").where("firm is not null and url is not null and url not like '%<%' and url <> ''").where(~F.col("url").rlike(r"\s")).select(F.col("firm").alias("site"), "url").distinct()
+    own = own.withColumn("part", F.pmod(F.xxhash64("url"), F.lit(50)).cast("string"))
+    at = lambda *x: F.concat(F.lit("https://site.example/"), *x)
+    loc = lambda c: F.concat(F.lit("<loc>"), c, F.lit("</loc>"))
+    maps = own.groupBy("site", "part").agg(F.array_join(F.collect_list(loc(F.col("url"))), "").alias("x")).select("site", F.lit("").alias("base"), at(F.lit("map"), "part").alias("url"), F.concat(F.lit("<urlset>"), "x", F.lit("</urlset>")).alias("xml"))
+    inner = own.select("site", "part").distinct().groupBy("site").agg(F.array_join(F.collect_list(loc(at(F.lit("map"), F.col("part")))), "").alias("x")).select("site", F.lit("").alias("base"), at(F.lit("inner")).alias("url"), F.concat(F.lit("<sitemapindex>"), "x", F.lit("</sitemapindex>")).alias("xml"))
+    sites = own.select("site").distinct()
+    outer = sites.select("site", F.lit("").alias("base"), at(F.lit("outer")).alias("url"), F.concat(F.lit("<sitemapindex>"), loc(at(F.lit("inner"))), F.lit("</sitemapindex>")).alias("xml"))
+    robots = sites.select("site", F.concat(F.lit("User-agent: *\nDisallow:\nSitemap: "), at(F.lit("outer"))).alias("text"))
+    reached = crawl.reachable_sitemaps(maps.unionByName(inner).unionByName(outer), crawl.robots_sitemaps(robots))
+    return reached.select("site", F.explode(F.regexp_extract_all("xml", F.lit(r"(?i)<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1))).alias("url")).distinct()

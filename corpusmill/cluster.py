@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 300_000
 
 _own_dirs: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
@@ -47,7 +51,7 @@ def _forget(spark: SparkSession, path: str) -> None:
 def materialize(df: DataFrame, *, partition_rows: int | None = None) -> DataFrame:
     """Write df once into shared storage and read it back: lineage ends there, sizes are known, and a lost executor costs no recomputation.
 
-    Columns are pruned on reading, so a wide intermediate can be read again for one column. The files go when the session ends.
+    Columns are pruned on reading, so a wide intermediate can be read again for one column. The files go when the session ends, or by `forget`.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
@@ -55,8 +59,35 @@ def materialize(df: DataFrame, *, partition_rows: int | None = None) -> DataFram
     if partition_rows:
         writer = writer.option("maxRecordsPerFile", partition_rows)
     writer.parquet(path)
-    atexit.register(_forget, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return out
+
+
+def forget(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the session's intermediate tables but the first `keep`: for long sessions, once their results are written."""
+    paths = _written.get(spark.sparkContext.applicationId, [])
+    for path in paths[keep:]:
+        _forget(spark, path)
+    del paths[keep:]
+
+
+@atexit.register
+def _forget_all() -> None:
+    import shutil
+
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        forget(spark)
+    for path in _own_dirs.values():
+        shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system it names."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target))
 
 
 def sized(df: DataFrame, rows: int | None = None, bound: int = BROADCAST_ROWS) -> DataFrame:

@@ -42,6 +42,21 @@ def published(html: Column) -> Column:
     return F.coalesce(*[meta(html, n) for n in names], linked)
 
 
+def author(html: Column) -> Column:
+    """A page's author from its meta tags, else from its linked data (a name, or an object with one)."""
+    linked = [F.nullif(F.regexp_extract(html, p, 1), F.lit("")) for p in (r'(?is)"author"\s*:\s*\[?\s*\{[^{}]*"name"\s*:\s*"([^"]+)"', r'(?is)"author"\s*:\s*"([^"]+)"')]
+    return F.trim(F.coalesce(meta(html, "author"), meta(html, "article:author"), *linked))
+
+
+def post_tags(html: Column, most: int = 10) -> Column:
+    """Distinct tags from keywords, article tags and links of the kind tag: lower case, under 40 characters, the first `most`."""
+    keywords = F.split(F.coalesce(meta(html, "keywords"), F.lit("")), ",")
+    articles = F.regexp_extract_all(html, F.lit(r"(?is)<meta[^>]+property=[\"']article:tag[\"'][^>]*content=[\"']([^\"']*)"), F.lit(1))
+    linked = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*rel=[\"'](?:[^\"']*\s)?tag(?:\s[^\"']*)?[\"'][^>]*>([^<]*)</a>"), F.lit(1))
+    every = F.transform(F.concat(keywords, articles, linked), lambda t: F.lower(F.trim(t)))
+    return F.slice(F.array_distinct(F.filter(every, lambda t: F.length(t).between(1, 39))), 1, most)
+
+
 class _Reader(HTMLParser):
     """Reads a page into headings, links and Markdown, however it is nested."""
 

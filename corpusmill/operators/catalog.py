@@ -23,7 +23,7 @@ MATRIX = {
     "Scale & scope": {"Team size": "team_size", "Branches": "branch_count", "Geography": "geographic_scope"},
     "Pricing": {"Pricing model": "pricing_model", "Fee schedule public": "fee_schedule_published", "Wealth tiers": "wealth_tiers_served"},
     "Our target segments": {"Early adults (first investment)": "segment_early_adults", "Mid-career 401(k)": "segment_mid_career_401k"},
-    "Regulatory / structure": {"Jurisdiction": "regulatory_jurisdiction", "Regulator": "regulator", "SEC registered": "sec_registered", "CRD": "crd_number", "Ownership": "ownership_structure", "Fiduciary stated": "fiduciary_stated_explicitly", "Disciplinary disclosures": "disciplinary_disclosures"},
+    "Regulatory / structure": {"Jurisdiction": "regulatory_jurisdiction", "Regulator": "regulator", "SEC registered": "sec_registered", "CRD": "crd_number", "Ownership": "ownership_structure", "Fiduciary stated": "fiduciary_stated_explicitly", "Fee-only stated": "fee_only_stated_explicitly", "Disciplinary disclosures": "disciplinary_disclosures"},
     "Brand & voice": {"Media presence": "media_presence", "Design tone": "design_tone"},
 }
 # Places in the two orders; other values and nulls are given by the functions below.
@@ -81,9 +81,11 @@ def fallback_tally(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def csv_line(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """A row as a CSV line: nulls empty, lists joined by commas, quotes only where needed."""
+    """A row as a CSV line: nulls empty, lists joined by commas, numbers plain (0.0005, 1), quotes only where needed."""
     kinds = dict(df.dtypes)
-    return F.concat_ws(",", *[tx.csv_cell(F.array_join(F.col(c), ", ") if kinds[c].startswith("array") else F.col(c)) for c in columns or CSV_HEADERS])
+    plain = lambda c: F.regexp_replace(F.regexp_replace(F.col(c).cast("decimal(30,10)").cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    shown = lambda c: F.array_join(F.col(c), ", ") if kinds[c].startswith("array") else plain(c) if kinds[c] == "double" else F.col(c)
+    return F.concat_ws(",", *[tx.csv_cell(shown(c)) for c in columns or CSV_HEADERS])
 
 
 def matrix(df: DataFrame, firm: str = "slug") -> DataFrame:
@@ -126,6 +128,24 @@ def deltas(history: DataFrame, key: str, as_of: str, value: str) -> DataFrame:
     return history.withColumn("previous", F.lag(value).over(w)).withColumn("change", F.col(value) - F.col("previous"))
 
 
+def spans(history: DataFrame, key: str, as_of: str, value: str) -> DataFrame:
+    """(key, as_of, value, year_ago, years_ago, change_12m, change_24_36m): the last snapshot against the last one at least 12 months before it, and the
+    last one 24 to 36 months before it; null where there is none. Dates of a year or month stand for its first day; unreadable ones are left out."""
+    day = F.try_to_date(F.concat(F.col(as_of), F.substring(F.lit("0001-01-01"), F.length(as_of) + 1, F.lit(10))), "yyyy-MM-dd")
+    rows = history.select(key, F.col(as_of).alias("_a"), F.col(value).alias("_v"), day.alias("_d")).where("_d is not null and _v is not null")
+    last = rows.groupBy(key).agg(F.max(F.struct("_d", "_a", "_v")).alias("_l"))
+    both = rows.join(last, key)
+    months = lambda n: F.add_months(F.col("_l._d"), -n)
+    pick = lambda cond: F.max(F.when(cond, F.struct("_d", "_a", "_v")))["_v"]
+    out = both.groupBy(key).agg(F.first("_l._a").alias("as_of"), F.first("_l._v").alias("value"), pick(F.col("_d") <= months(12)).alias("year_ago"), pick(F.col("_d").between(months(36), months(24))).alias("years_ago"))
+    return out.withColumn("change_12m", F.col("value") - F.col("year_ago")).withColumn("change_24_36m", F.col("value") - F.col("years_ago"))
+
+
+def with_caveats(df: DataFrame, caveats: DataFrame, key: str = "slug") -> DataFrame:
+    """df with `caveat` from (key, caveat), null where there is none. Caveats are written by hand, so the optimizer's own size check decides on a broadcast."""
+    return df.join(caveats.select(key, "caveat").dropDuplicates([key]), key, "left")
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str, columns: list[str], new_wins: bool = True) -> DataFrame:
     """old with the given columns from new where new has a value (or only where old has none)."""
     n = new.select(key, *[F.col(c).alias(f"_{c}") for c in columns])

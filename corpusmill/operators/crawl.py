@@ -37,6 +37,25 @@ def sitemap_links(xml: DataFrame, most_depth: int = 2, most: int = 300) -> DataF
     return own.withColumn("n", rank).where(F.col("n") <= most).select("site", "url", u.segment_text(F.col("url")).alias("text"), "place")
 
 
+def robots_sitemaps(robots: DataFrame) -> DataFrame:
+    """(site, url): the sitemaps that robots files (site, text) name."""
+    return robots.select("site", F.explode(F.regexp_extract_all("text", F.lit(r"(?im)^\s*sitemap:\s*(\S+)"), F.lit(1))).alias("url")).distinct()
+
+
+def reachable_sitemaps(fetched: DataFrame, roots: DataFrame, levels: int = 5) -> DataFrame:
+    """(site, base, url, xml) of the page lists among the fetched sitemaps that roots (site, url) lead to, through at most `levels` nested indexes."""
+    loc = F.explode(F.regexp_extract_all("xml", F.lit(r"(?i)<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1))).alias("url")
+    is_index = F.col("xml").rlike("(?i)<sitemapindex")
+    fetched = fetched.select("site", "base", "url", "xml").dropDuplicates(["site", "url"])
+    at, out = roots.select("site", "url").distinct(), None
+    for _ in range(levels):
+        here = fetched.join(at, ["site", "url"], "left_semi")
+        pages = here.where(~is_index)
+        out = pages if out is None else out.unionByName(pages)
+        at = here.where(is_index).select("site", loc).distinct()
+    return out.unionByName(fetched.join(at, ["site", "url"], "left_semi").where(~is_index)).dropDuplicates(["site", "url"])
+
+
 def distinct_addresses(df: DataFrame) -> DataFrame:
     """One row per site and canonical address: the most trusted, then the first by address."""
     keyed = df.withColumn("canon", u.canonical(F.col("url")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
@@ -26,6 +26,29 @@ def firm_facts() -> Column:
     return tx.facts_line(F.col("competitor_type"), F.col("regulator"), F.when(F.col("aum_usd").isNotNull(), tx.billions(F.col("aum_usd"))), F.col("website"), tx.plural(F.col("posts"), "post", "posts"))
 
 
+def posts_by_date(posts: DataFrame, firm: str = "firm", date: str = "date", key: str = "url") -> DataFrame:
+    """posts with `place`, each firm's newest first, undated last, ties by key. Places are counted by month and put behind those of later months, so a
+    firm with a large part of all posts is no single task."""
+    rows = posts.withColumn("_month", F.substring(F.coalesce(F.col(date), F.lit("")), 1, 7))
+    months = rows.groupBy(firm, "_month").agg(F.count("*").alias("_n"))
+    before = months.withColumn("_before", F.sum("_n").over(Window.partitionBy(firm).orderBy(F.desc("_month"))) - F.col("_n")).select(F.col(firm).alias("_f"), F.col("_month").alias("_m"), "_before")
+    own = F.row_number().over(Window.partitionBy(firm, "_month").orderBy(F.desc(F.coalesce(F.col(date), F.lit(""))), key))
+    both = rows.withColumn("_own", own).join(before, F.col(firm).eqNullSafe(F.col("_f")) & (F.col("_month") == F.col("_m")))
+    return both.withColumn("place", (F.col("_before") + F.col("_own")).cast("bigint")).drop("_month", "_own", "_f", "_m", "_before")
+
+
+def firm_page_lines(digest: DataFrame, documents: DataFrame, posts: DataFrame) -> DataFrame:
+    """(slug, part, place, line): a firm's page, line by line: its name, its facts, links to its documents (slug, name), its posts (firm, date, title, url)."""
+    one = F.lit(1).cast("bigint")
+    head = digest.select("slug", F.lit(0).alias("part"), one.alias("place"), F.concat(F.lit("# "), F.coalesce("competitor", "slug")).alias("line"))
+    facts = digest.select("slug", F.lit(1).alias("part"), one.alias("place"), firm_facts().alias("line"))
+    of = F.row_number().over(Window.partitionBy("slug").orderBy("name")).cast("bigint")  # a firm has few documents
+    links = documents.select("slug", F.lit(2).alias("part"), of.alias("place"), F.concat(F.lit("- ["), tx.document_label(F.col("name")), F.lit("](/"), F.col("slug"), F.lit("/"), F.col("name"), F.lit(")")).alias("line"))
+    listed = posts_by_date(posts).join(digest.select(F.col("slug").alias("firm")).distinct(), "firm", "left_semi")
+    shown = listed.select(F.col("firm").alias("slug"), F.lit(3).alias("part"), "place", F.concat(F.lit("- "), F.coalesce("date", F.lit("undated")), F.lit(": ["), F.coalesce("title", F.lit("Untitled")), F.lit("]("), F.coalesce("url", F.lit("")), F.lit(")")).alias("line"))
+    return head.unionByName(facts).unionByName(links).unionByName(shown)
+
+
 def matrix_row(section: Column, dimension: Column, cells: Column) -> Column:
     """A line of the matrix in Markdown: bars in cells are escaped."""
     safe = F.transform(cells, lambda c: F.replace(c, F.lit("|"), F.lit("\\|")))

@@ -23,6 +23,7 @@ TEXT_KINDS = {
     "blog": r"(?i)^(blog|insights?|articles?|news|press|in[-\s]the[-\s]news|resources?)$",
 }
 PRIORITY = ("services", "about", "pricing", "blog", "contact")
+# Signs of pages that are not there or refused; what addresses, phones and networks look like.
 SOFT_404 = r"(?i)\b(page\s+not\s+found|404\s+not\s+found|not\s+found|oops)\b"
 CHALLENGE = r"(?i)checking your browser|403 - forbidden|access denied"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.cluster import materialize, sized
 from corpusmill.functions import text as tx
 from corpusmill.functions import values as v
+from corpusmill.operators.nested import valid_json
 
 # Where a filing's text has its numbers.
 FILING_NUMBERS = {
@@ -18,6 +20,7 @@ FILING_NUMBERS = {
     "aum_total_usd": r"(?i)Total:\s*\(c\)\s*\$\s*([0-9,]+)",
     "account_count_total": r"(?is)Total:.*?\(f\)\s*([0-9,]+)",
 }
+# Headings of disclosures, the other fee's place, an address's fields.
 DISCLOSURE_HEADS = ("DRP - Criminal Disclosure", "DRP - Regulatory Disclosure", "DRP - Civil Judicial Disclosure")
 OTHER_FEE = r"(?i)You are compensated for your investment advisory services[\s\S]*?\(7\)\s*Other\s*\(specify\)[:\s]*([^\n]*)"
 ADDRESS_FIELDS = ("street1", "street2", "city", "state", "postalCode", "country")
@@ -35,7 +38,7 @@ def filing_fields(text: Column) -> list[Column]:
 def office(address: Column) -> Column:
     """An office address as one line from its JSON; null where there is none or it is broken."""
     inner = "struct<" + ",".join(f"{f}:string" for f in ADDRESS_FIELDS) + ">"
-    a = F.from_json(address, f"officeAddress {inner}")["officeAddress"]
+    a = F.from_json(valid_json(address), f"officeAddress {inner}")["officeAddress"]
     return F.nullif(F.concat_ws(", ", *[F.nullif(a[f], F.lit("")) for f in ADDRESS_FIELDS]), F.lit(""))
 
 
@@ -55,23 +58,33 @@ def name_score(name: Column, words: Column) -> Column:
     return inside + F.when(name == F.array_join(words, " "), 5).otherwise(0)
 
 
+def _grams(text: Column, n: int) -> Column:
+    """The distinct runs of n characters without a blank."""
+    every = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))
+    return F.array_distinct(F.filter(every, lambda g: (F.length(g) == n) & ~F.contains(g, F.lit(" "))))
+
+
 def best_hits(queries: DataFrame, hits: DataFrame, strict: bool = False) -> DataFrame:
-    """(query, firm_source_id, score): per query the hit with the best name, first by number on ties, if it has all the query's words.
+    """(query, firm_source_id, score): per query the hit with the best name that has all the query's words, anywhere in it (as whole words if `strict`);
+    first by number on ties.
 
-    A candidate needs one word of the query in common, which is the join's key: words that are parts of longer words meet through the
-    words' beginnings of four characters, unless `strict` asks for whole words. There is no cross join.
+    A name that has all words has every run of three letters in them (of a shorter word all of it). Each query looks for its rarest run only, so
+    frequent words pair nothing, and there is no cross join.
     """
     q = queries.select("query", tx.query_words(tx.legal_name(F.col("query"))).alias("words")).where(F.size("words") > 0)
     names = hits.select("firm_source_id", F.explode(F.concat(F.array("firm_name"), F.coalesce(F.col("firm_other_names"), F.array().cast("array<string>")))).alias("n")).where("n is not null")
-    names = names.select("firm_source_id", tx.legal_name(F.col("n")).alias("name")).distinct()
-    start = lambda w: w if strict else F.substring(w, 1, 4)
-    left = q.select("query", "words", F.explode(F.array_distinct(F.transform("words", start))).alias("key"))
-    right = names.select("firm_source_id", "name", F.explode(F.array_distinct(F.transform(F.split("name", " "), start))).alias("key"))
-    pairs = left.join(right, "key").select("query", "words", "firm_source_id", "name").distinct()
+    names = materialize(names.select("firm_source_id", tx.legal_name(F.col("n")).alias("name")).distinct())
+    wanted = F.flatten(F.transform("words", lambda w: F.when(F.length(w) >= 3, _grams(w, 3)).otherwise(F.array(w))))
+    asked = materialize(q.select("query", "words", F.explode(F.array_distinct(wanted)).alias("key")))
+    keys = materialize(asked.select("key").distinct())
+    places = names.select("firm_source_id", "name", F.explode(F.concat(*[_grams(F.col("name"), n) for n in (1, 2, 3)])).alias("key")).join(sized(keys), "key", "left_semi")
+    common = places.groupBy("key").agg(F.count("*").alias("n"))
+    rarest = asked.join(common, "key", "left").groupBy("query").agg(F.min_by(F.struct("words", "key"), F.struct(F.coalesce("n", F.lit(0)), "key")).alias("b")).select("query", "b.*")
+    pairs = rarest.join(places, "key").select("query", "words", "firm_source_id", "name")
     whole = F.size(F.array_except("words", F.split("name", " "))) == 0 if strict else F.lit(True)
     scored = pairs.where(whole).withColumn("score", name_score(F.col("name"), F.col("words"))).where(F.col("score") >= F.size("words"))
-    best = scored.groupBy("query").agg(F.max_by(F.struct("firm_source_id", "score"), F.struct("score", F.translate("firm_source_id", "0123456789", "9876543210"))).alias("b"))
-    return best.select("query", "b.*")
+    best = scored.groupBy("query").agg(F.max("score").alias("score"), F.min_by("firm_source_id", F.struct(-F.col("score"), "firm_source_id")).alias("firm_source_id"))
+    return best.select("query", "firm_source_id", "score")
 
 
 def by_number_or_best(hits: DataFrame, number: Column) -> Column:
@@ -82,3 +95,9 @@ def by_number_or_best(hits: DataFrame, number: Column) -> Column:
 def aligned_disclosures(flag: Column, count: Column) -> Column:
     """The count that fits the flag: none if false, unknown if true without a count, as it is without a flag."""
     return F.when(flag.isNull(), count).when(~flag, F.lit(0)).otherwise(F.when(count > 0, count))
+
+
+def skip_reason(has_facts: Column, has_metadata: Column, matched: Column, address: Column) -> Column:
+    """Why a firm's filing isn't read, the first that holds; null if it is."""
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    return F.when(~yes(has_facts), "no facts").when(~yes(has_metadata), "no metadata").when(~yes(matched), "not matched").when(F.coalesce(address, F.lit("")) == "", "no address")

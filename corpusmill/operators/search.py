@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.cluster import materialize
+from corpusmill.cluster import materialize, sized
 
 K, B, D = 1.2, 0.7, 0.5
 PREFIX_WEIGHT, FUZZY_WEIGHT, FUZZY = 0.375, 0.45, 0.2
@@ -30,7 +30,7 @@ def terms(text: Column) -> Column:
 
 @dataclass
 class Index:
-    postings: DataFrame  # term, field, id, tf
+    postings: DataFrame  # term, field, id, tf, and len, the terms of the field
     lengths: DataFrame  # id, field, len
     vocabulary: DataFrame  # term, field, df
     totals: DataFrame  # field, docs, mean_len
@@ -40,7 +40,7 @@ def build(docs: DataFrame, key: str, fields: list[str]) -> Index:
     """The index of (key, fields); null fields have no terms. Texts are read and split once."""
     one = materialize(docs.select(F.col(key).alias("id"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), terms(F.coalesce(F.col(f), F.lit(""))).alias("terms")) for f in fields])).alias("x")).select("id", "x.field", "x.terms"))
     lengths = one.select("id", "field", F.size("terms").alias("len"))
-    postings = one.select("id", "field", F.explode("terms").alias("term")).groupBy("term", "field", "id").agg(F.count("*").alias("tf"))
+    postings = materialize(one.select("id", "field", F.size("terms").alias("len"), F.explode("terms").alias("term")).groupBy("term", "field", "id", "len").agg(F.count("*").alias("tf")))
     vocabulary = postings.groupBy("term", "field").agg(F.count("*").alias("df"))
     totals = lengths.groupBy("field").agg(F.count("*").alias("docs"), F.avg("len").alias("mean_len"))
     return Index(postings, lengths, vocabulary, totals)
@@ -85,7 +85,8 @@ def ranked(index: Index, query: str, k: int = K_DEFAULT, boosts: dict[str, float
     boosts = boosts or {}
     boost = F.coalesce(*[F.when(F.col("field") == f, F.lit(b)) for f, b in boosts.items()], F.lit(1.0)) if boosts else F.lit(1.0)
     wanted = matching_terms(index.vocabulary, query, prefix, fuzzy)
-    hits = index.postings.join(wanted, "term").join(index.vocabulary, ["term", "field"]).join(index.lengths, ["id", "field"]).join(F.broadcast(index.totals), "field")
+    terms_ = materialize(wanted.join(index.vocabulary, "term"))  # only what the query's words match; the documents' lengths stand in the postings
+    hits = index.postings.join(sized(terms_), ["term", "field"]).join(F.broadcast(index.totals), "field")
     idf = F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     gain = D + F.col("tf") * (K + 1) / (F.col("tf") + K * (1 - B + B * F.col("len") / F.col("mean_len")))
     scored = hits.groupBy("id").agg(F.sum(boost * F.col("weight") * idf * gain).alias("score"))

@@ -20,9 +20,10 @@ HEADING = r"^(#{1,2})\s+(.*)$"
 def split_body(body: Column, fallback: Column) -> Column:
     """array of (level, heading, body) in the document's order, without empty sections."""
     lines = F.split(F.replace(body, F.lit("\r\n"), F.lit("\n")), "\n", -1)
-    # a break before each heading line, then each piece is a section; \u0001 stands in no text that this reads
-    joined = F.array_join(F.transform(lines, lambda x: F.when(x.rlike(HEADING), F.concat(F.lit("\x01"), x)).otherwise(x)), "\n")
-    pieces = F.split(joined, "\x01", -1)
+    # the places where sections begin (the first line, and each heading), and the lines from each to the next
+    starts = F.array_distinct(F.concat(F.array(F.lit(1)), F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(HEADING), i + 1).otherwise(0)), lambda i: i > 0)))
+    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(lines) + 1))
+    pieces = F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda p: F.array_join(F.slice(lines, p["a"], p["b"] - p["a"]), "\n"))
 
     def section(piece: Column) -> Column:
         first = F.substring_index(piece, "\n", 1)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.cluster import exists
+
 SKIPPED = ("README.md", "_template", ".DS_Store")
 
 
@@ -46,23 +47,28 @@ def markdown_documents(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def front_fields(df: DataFrame, column: str = "front") -> DataFrame:
-    """Adds `fields`, the header's keys and values as text (lists as JSON); read by PyYAML where it is there, else line by line."""
+    """Adds `fields`, the header's keys and values as text (lists as JSON); read line by line, quoted strings without their quotes."""
 
     def parse(text: str | None) -> dict[str, str] | None:
         if not isinstance(text, str):
             return None
         import json
 
-        try:
-            import yaml
-
-            data = yaml.safe_load(text)
-            return {str(k): v if isinstance(v, str) else json.dumps(v, default=str) for k, v in data.items()} if isinstance(data, dict) else None
-        except ImportError:
-            pass
-        except Exception:
-            return None
-        return {k.strip(): v.strip().strip('"') for k, _, v in (x.partition(":") for x in text.splitlines()) if k.strip()}
+        out: dict[str, str] = {}
+        for line in text.splitlines():
+            key, colon, value = line.partition(":")
+            key, value = key.strip(), value.strip()
+            if not colon or not key or line[:1] in " \t#-":
+                continue
+            if value[:1] == '"' == value[-1:] and len(value) > 1:
+                try:
+                    value = json.loads(value)
+                except ValueError:
+                    value = value[1:-1]
+            elif value[:1] == "'" == value[-1:] and len(value) > 1:
+                value = value[1:-1].replace("''", "'")
+            out[key] = value
+        return out
 
     schema = T.StructType([*df.schema.fields, T.StructField("fields", T.MapType(T.StringType(), T.StringType()))])
 
@@ -75,8 +81,7 @@ def front_fields(df: DataFrame, column: str = "front") -> DataFrame:
 
 def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table, or none of its rows where the path isn't there."""
-    local = path.removeprefix("file://")
-    if "://" not in local and not os.path.exists(local):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from corpusmill.cluster import exists
+
 
 def append_new(old: DataFrame, new: DataFrame, key: str = "url") -> DataFrame:
     """old and those rows of new whose key it lacks; of a key that new repeats, the row captured first."""
@@ -26,15 +28,12 @@ def write_stream(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQu
 
 
 def merge_stream(stream: DataFrame, folder: str, checkpoint: str, key: str = "url") -> StreamingQuery:
-    """Appends those rows of each micro-batch whose key the table lacks; a batch that is run again adds nothing."""
+    """Appends those rows of each micro-batch whose key the table lacks; a batch that is run again adds nothing. Only the keys are read again."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        import os
-
-        spark = batch.sparkSession
-        known = spark.read.parquet(folder).select(key).distinct() if os.path.exists(folder.removeprefix("file://")) else None
         fresh = batch.dropDuplicates([key])
-        fresh = fresh.join(known, key, "left_anti") if known is not None else fresh
+        if exists(batch.sparkSession, folder):
+            fresh = fresh.join(batch.sparkSession.read.schema(batch.schema).parquet(folder).select(key), key, "left_anti")
         fresh.write.mode("append").parquet(folder)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

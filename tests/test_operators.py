@@ -139,8 +139,22 @@ def test_registry(spark):
     assert [r.query for r in registry.best_hits(q, hits, strict=True).collect()] == ["Marl Group"]
 
 
+FILING = "Approximately how many employees do you have? Include full- and part-time but do not include any clerical workers. 1,204 perform investment advisory functions (including research)? 37 registered with one or more state securities authorities as investment adviser representatives? 5 Discretionary: (a) $ 1,250,000,000 (d) 900 Non-Discretionary: (b) $ 0 (e) 0 Total: (c) $ 1,250,000,000 (f) 912 DRP - Regulatory Disclosure signed 03/14/2023 amended 11/02/2024"
+
+
+def test_registry_finds_words_inside_words(spark):
+    hits = spark.createDataFrame([("2", "CITISHARES GROUP", None), ("1", "CITISHARES GROUP", None), ("3", "SHARE CO", [None])], "firm_source_id string, firm_name string, firm_other_names array<string>")
+    q = spark.createDataFrame([("shares",), ("tish group",), ("llc",), ("",), (None,)], "query string")
+    assert rows(registry.best_hits(q, hits).select("query", "firm_source_id")) == [("shares", "1"), ("tish group", "1")]
+
+
+def test_skip_reasons(spark):
+    df = spark.createDataFrame([(None, True, True, "u"), (True, None, True, "u"), (True, True, None, "u"), (True, True, True, ""), (True, True, True, "u")], "f boolean, m boolean, x boolean, u string")
+    assert [r[0] for r in df.select(registry.skip_reason(F.col("f"), F.col("m"), F.col("x"), F.col("u"))).collect()] == ["no facts", "no metadata", "not matched", "no address", None]
+
+
 def test_filing(spark):
-    df = spark.createDataFrame([(catalog_queries._FILING,), ("",), (None,)], "t string").select(*registry.filing_fields(F.col("t")))
+    df = spark.createDataFrame([(FILING,), ("",), (None,)], "t string").select(*registry.filing_fields(F.col("t")))
     first, empty, null = df.collect()
     assert (first.employee_count, first.advisor_count, first.iar_state_count, first.aum_total_usd, first.account_count_total, first.filing_date) == (1204, 37, 5, 1_250_000_000, 912, "2024-11-02")
     assert empty.employee_count is None and empty.has_filed_drps is False and null.filing_date is None
