@@ -290,13 +290,27 @@ def pages_by_path(spark: SparkSession, d: str) -> DataFrame:
     return crawl.pick_by_path(_page_candidates(spark, d))
 
 
-@query()
+_KIND_LIST = lambda col, kinds: "[" + ", ".join(f"case when regexp_matches({col}, '{p.replace(chr(39), chr(39) * 2)}') then '{k}' end" for k, p in kinds.items()) + "]"
+_ORIGIN_OF = _ORIGIN.replace("url", "{0}")
+_PICKED = (
+    f"own as (select firm site, url, coalesce(title, '') t, 0 r from page_capture where url is not null and firm is not null), base as (select site, min({_ORIGIN}) b from own group by site having min({_ORIGIN}) is not null), "
+    f"known as (select site, regexp_replace(b, '/+$', '') || p url, regexp_replace(string_split(p, '/')[-1], '[-_]', ' ', 'g') t, 1 r from base, (select unnest({list(u.KNOWN_PATHS)}) p)), every as (select * from own union all select * from known), "
+    f"canon as (select *, case when {_ORIGIN} is null then url else case when length({_PATH.replace('url', 'bare')}) > 1 then regexp_replace(bare, '/$', '') else bare end end c from (select *, regexp_replace(trim(url), '[?#].*', '') bare from every)), "
+    "best as (select site, c, x.r r, x.url url, x.t t from (select site, c, min({'r': r, 'url': url, 't': t}) x from canon group by site, c)), "
+    f"bp as (select site, kind, x.url url from (select site, kind, min({{'d': d, 'r': r, 'url': url}}) x from (select site, url, r, len(list_filter(string_split({_PATH}, '/'), lambda s: s <> '')) d, unnest(list_filter({_KIND_LIST(_PATH, pages.PATH_KINDS)}, lambda x: x is not null)) kind from best where {_PATH} is not null) group by site, kind)), "
+    f"taken as (select distinct site, case when {_ORIGIN} is null then url else case when length({_PATH.replace('url', 'bare')}) > 1 then regexp_replace(bare, '/$', '') else bare end end c from (select site, url, regexp_replace(trim(url), '[?#].*', '') bare from bp)), "
+    f"bt as (select site, kind, x.url url from (select site, kind, min({{'r': r, 'url': url}}) x from (select site, url, r, unnest(list_filter({_KIND_LIST('t', pages.TEXT_KINDS)}, lambda x: x is not null)) kind from best where length(t) between 1 and 80 and (site, c) not in (select (site, c) from taken)) group by site, kind)), "
+    f"al as (select coalesce(bp.site, bt.site) site, coalesce(bp.kind, bt.kind) kind, coalesce(bp.url, bt.url) url from bp full join bt on bp.site = bt.site and bp.kind = bt.kind)"
+)
+
+
+@query(f"with {_PICKED} select site, row_number() over (partition by site order by list_position({list(pages.PRIORITY)}, kind))::bigint place, kind, url from al qualify row_number() over (partition by site order by list_position({list(pages.PRIORITY)}, kind)) <= 6")
 def picked_pages(spark: SparkSession, d: str) -> DataFrame:
     """Path and text picks together, known addresses among the candidates, by priority within the budget."""
     own = _page_candidates(spark, d)
     base = own.groupBy("site").agg(F.min(u.origin(F.col("url"))).alias("base")).where("base is not null")
     both = crawl.candidates(own, crawl.known_path_candidates(base))
-    return crawl.pick_pages(crawl.distinct_addresses(both))
+    return crawl.pick_pages(crawl.distinct_addresses(both)).withColumn("place", F.col("place").cast("bigint"))
 
 
 @query("with l as (select distinct firm site, blog_url, url from post_index_entry where firm is not null), p as (select *, " + _PATH + " p, " + _PATH.replace("url,", "blog_url,") + " b, " + _ORIGIN + " o, " + _ORIGIN.replace("url,", "blog_url,") + " bo from l) select distinct site, regexp_replace(url, '[?#].*', '') url from p where o = bo and not regexp_matches(p, '" + u.INDEX_HINT + "') and not regexp_matches(p, '" + u.NOT_HTML + "') and p <> '/' and len(list_filter(string_split(p, '/'), lambda s: s <> '')) > len(list_filter(string_split(b, '/'), lambda s: s <> ''))")
@@ -850,3 +864,60 @@ def sitemap_pages(spark: SparkSession, d: str) -> DataFrame:
     robots = sites.select("site", F.concat(F.lit("User-agent: *\nDisallow:\nSitemap: "), at(F.lit("outer"))).alias("text"))
     reached = crawl.reachable_sitemaps(maps.unionByName(inner).unionByName(outer), crawl.robots_sitemaps(robots))
     return reached.select("site", F.explode(F.regexp_extract_all("xml", F.lit(r"(?i)<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1))).alias("url")).distinct()
+
+
+_LAST_SEGMENT = f"coalesce(list_filter(string_split({_PATH}, '/'), lambda s: s <> '')[-1], '')"
+_HOST = "regexp_extract(url, '^\\s*[A-Za-z][A-Za-z0-9+.-]*://([^/?#\\s:]+)', 1)"
+
+
+@query(f"select post_id, case when {_PATH} is null then '' else replace(replace({_LAST_SEGMENT}, '-', ' '), '_', ' ') end segment, case when {_PATH} is null then null else array_to_string(list_transform(list_filter(regexp_split_to_array(string_split(regexp_replace(lower({_HOST}), '^www\\.', ''), '.')[1], '[\\s\\-_.]+'), lambda w: w <> ''), lambda w: upper(w[1]) || lower(w[2:])), '_') end site_slug, 'https://kb.example' || '/posts/' || file as address from post_index_entry where url is not null and regexp_matches(url, '^https?://[A-Za-z0-9.-]+(/[^\\s?#]*)?$')")
+def address_parts(spark: SparkSession, d: str) -> DataFrame:
+    """The text of an address's last segment, its site's folder name, and a file's address below a base, for well-formed addresses."""
+    rows = table(spark, d, "post_index_entry").where(F.col("url").rlike(r"^https?://[A-Za-z0-9.-]+(/[^\s?#]*)?$"))
+    return rows.select("post_id", u.segment_text(F.col("url")).alias("segment"), u.slug_of_site(F.col("url")).alias("site_slug"), u.absolute("https://kb.example/", F.concat(F.lit("/posts/"), F.col("file"))).alias("address"))
+
+
+@query("select meta_id, case when employee_count <= 1 then 'solo' when employee_count <= 30 then 'small' when employee_count <= 300 then 'mid' when employee_count is not null then 'large' end band, case when disciplinary_disclosures is null then disciplinary_disclosure_count when not disciplinary_disclosures then 0 when disciplinary_disclosure_count > 0 then disciplinary_disclosure_count end::bigint disclosures, floor(coalesce(fee_aum_pct_low, 0) * 10000 + 0.5) / 10000 fee, coalesce(last_updated, next_review_by, aum_as_of) dated, replace(regexp_replace(slug || '.md', '\\.md$', ''), '_', ' ') document from firm_metadata")
+def record_values(spark: SparkSession, d: str) -> DataFrame:
+    """Size bands, aligned disclosure counts, rounding, the first date there is, and a document's shown name."""
+    return table(spark, d, "firm_metadata").select(
+        "meta_id", v.size_band(F.col("employee_count")).alias("band"), registry.aligned_disclosures(F.col("disciplinary_disclosures"), F.col("disciplinary_disclosure_count")).cast("bigint").alias("disclosures"), v.rounded(F.coalesce("fee_aum_pct_low", F.lit(0.0)), 4).alias("fee"),
+        v.date_or(F.col("last_updated"), F.col("next_review_by"), F.col("aum_as_of")).alias("dated"), tx.document_label(F.concat("slug", F.lit(".md"))).alias("document"),
+    )
+
+
+@query("select page_id, case when og = title and coalesce(h1, '') <> '' and h1 <> title then h1 else coalesce(nullif(og, ''), nullif(title, ''), h1) end resolved from (select page_id, meta.og_title og, title, headings[1].text h1 from page_capture)")
+def resolved_titles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "page_capture").select("page_id", tx.resolved_title(F.col("meta")["og_title"], F.col("title"), F.try_element_at("headings", F.lit(1))["text"]).alias("resolved"))
+
+
+@query("select facts_id, false matched, competitor queried_as, 'no hit' note from company_facts where not coalesce(auto_filled.sec_iapd.matched, false)")
+def unmatched_markers(spark: SparkSession, d: str) -> DataFrame:
+    """What stands for the registry's part of firms without a hit."""
+    rows = table(spark, d, "company_facts").where(~F.coalesce(F.col("auto_filled.sec_iapd.matched"), F.lit(False)))
+    return rows.select("facts_id", documents.unmatched(F.col("competitor"), "no hit").alias("m")).select("facts_id", "m.*")
+
+
+@query("select firm_source_id, firm_name from iapd_hit")
+def unwrapped_responses(spark: SparkSession, d: str) -> DataFrame:
+    """Registry hits wrapped as search responses, and unwrapped again."""
+    hits = table(spark, d, "iapd_hit")
+    one = F.struct(F.struct("firm_source_id", "firm_name").alias("_source"))
+    pages_ = hits.withColumn("page", F.pmod(F.xxhash64("firm_source_id", "captured"), F.lit(200))).groupBy("page").agg(F.to_json(F.struct(F.struct(F.collect_list(one).alias("hits")).alias("hits"))).alias("response"))
+    return documents.responses_unwrapped(pages_.select("response"), "response", "struct<firm_source_id:string,firm_name:string>")
+
+
+@query("select doc_id, replace(coalesce(text, ''), 'a', 'b') as text from documents where doc_id is not null and title is not null")
+def replaced_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """A block between markers replaced in place: the text of each document, wrapped in markers, gets its letters a as b."""
+    rows = table(spark, d, "documents").where("title is not null and doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    page = F.concat(F.lit("head <!-- a -->old<!-- z --> foot "), F.lit("x"))
+    done = rows.select("doc_id", tx.between_markers(page, "<!-- a -->", "<!-- z -->", F.replace("t", F.lit("a"), F.lit("b"))).alias("p"))
+    return done.select("doc_id", F.expr("substring(p, length('head <!-- a -->') + 2, length(p) - length('head <!-- a -->') - length('<!-- z --> foot x') - 2)").alias("text"))
+
+
+@query("select record_id, json_extract_string(payload, '$.competitor') competitor from raw_record where json_valid(payload)")
+def tolerant_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """One field of each payload that is valid JSON, null where it lacks."""
+    rows = table(spark, d, "raw_record").select("record_id", nested.valid_json(F.col("payload")).alias("payload")).where("payload is not null")
+    return rows.select("record_id", F.get_json_object("payload", "$.competitor").alias("competitor"))
