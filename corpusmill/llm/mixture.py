@@ -1,8 +1,8 @@
 """Mixing sources to target weights, measured in tokens of a public tokenizer.
 
 1. Every record's tokens are counted once (tiktoken on the rank file; the path is a parameter). Source labels that differ in case or signs are one.
-2. A source's records are split into blocks by a seeded hash, so a hot source has many blocks and no block is large. Blocks' sizes (at most BLOCKS a source)
-   come to the driver. The total is the largest at which every source present has its share with no record used more than max_repeats times; shares
+2. A source's records are split into blocks by a seeded hash, as many as its tokens make of BLOCK_TOKENS each, so a hot source has many blocks and no block is
+   large. Blocks' sizes (numbers, one per block of a wanted source) come to the driver. The total is the largest at which every source present has its share with no record used more than max_repeats times; shares
    of sources without records are left out of it and reported. A given total beyond that leaves scarce sources at their cap and reports what they lack.
 3. A source's quota is whole passes over its blocks and then a part of one, in a permuted order; the last block is cut at a record.
 4. Splitting tree: the drawn blocks of all sources are split among the output shards. At each node the left side's share of each source is a
@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 from corpusmill.cluster import env_path, materialize
 
-BLOCKS, SHARD_TOKENS, SEED = 1024, 4_000_000, 20_240_601
+#: A block has about BLOCK_TOKENS (a source at least LEAST_BLOCKS blocks, so that small sources mix too), a shard at most about SHARD_TOKENS. Sizes double
+#: until all sources together have at most MOST_BLOCKS, which the driver plans; a shard then has as many tokens as SHARD_TOKENS or sixteen blocks.
+BLOCK_TOKENS, LEAST_BLOCKS, SHARD_TOKENS, MOST_BLOCKS, SEED = 250_000, 64, 4_000_000, 2_000_000, 20_240_601
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -65,7 +67,7 @@ def source_key(label: Column) -> Column:
 
 
 def sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", path: str | None = None) -> DataFrame:
-    """(doc, source, tokens, block, rank), written once."""
+    """(doc, source, tokens, rank), written once."""
     at = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,7 +78,16 @@ def sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     rows = docs.where((F.col(text) != "") & F.col(source).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("bigint").alias("doc"), source_key(F.col(source)).alias("source"), text)
     counted = rows.mapInArrow(run, "doc bigint, source string, tokens bigint")
     rank = F.xxhash64(F.col("doc"), F.lit(SEED))
-    return materialize(counted.withColumn("rank", rank).withColumn("block", F.pmod("rank", F.lit(BLOCKS)).cast("int")))
+    return materialize(counted.withColumn("rank", rank))
+
+
+def block_counts(tokens: dict[str, int], block_tokens: int = BLOCK_TOKENS, most: int = MOST_BLOCKS) -> tuple[dict[str, int], int]:
+    """The number of blocks of each source, and the tokens that a block was made for."""
+    while True:
+        counts = {s: max(LEAST_BLOCKS, -(-n // block_tokens)) for s, n in tokens.items()}
+        if sum(counts.values()) <= max(most, LEAST_BLOCKS * len(counts)):
+            return counts, block_tokens
+        block_tokens *= 2
 
 
 def quotas(available: dict[str, int], targets: dict[str, tuple[float, int]], total: int | None = None) -> dict[str, int]:
@@ -166,10 +177,16 @@ def _mixed(docs: DataFrame, mix: DataFrame, total: int | None, path: str | None)
     targets = _targets(mix)
     counted = sizes(docs, path=path)
     wanted = counted.where(F.col("source").isin(sorted(targets)))
+    counts, size = block_counts({r[0]: r[1] for r in wanted.groupBy("source").agg(F.sum("tokens")).collect()})  # a row per wanted source
+    if counts:
+        of = F.coalesce(*[F.when(F.col("source") == s, F.lit(n)) for s, n in counts.items()])
+        wanted = wanted.withColumn("block", F.pmod("rank", of).cast("int"))
+    else:
+        wanted = wanted.withColumn("block", F.lit(0))
     blocks: dict[str, list[tuple[int, int]]] = {}
-    for s, block, tokens in wanted.groupBy("source", "block").agg(F.sum("tokens")).orderBy("source", "block").collect():  # at most BLOCKS a wanted source
+    for s, block, tokens in wanted.groupBy("source", "block").agg(F.sum("tokens")).orderBy("source", "block").collect():  # at most MOST_BLOCKS
         blocks.setdefault(s, []).append((block, tokens))
-    placed = plan(blocks, targets, total)
+    placed = plan(blocks, targets, total, max(SHARD_TOKENS, 16 * size))
     spark = docs.sparkSession
     table = spark.createDataFrame(pa.table({n: pa.array([p[k] for p in placed], t) for k, (n, t) in enumerate((("source", pa.string()), ("block", pa.int32()), ("copy", pa.int32()), ("take", pa.int64()), ("shard", pa.int32())))}).to_pandas(), "source string, block int, copy int, take bigint, shard int")
     from pyspark.sql import Window

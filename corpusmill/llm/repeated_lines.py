@@ -26,9 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.cluster import materialize, sized
+from corpusmill.cluster import BROADCAST_ROWS, materialize, sized
 
 MIN_URLS, MIN_SHARE = 5, 0.1
+#: Wordings of many documents are joined in so many parts where they are too many to be broadcast.
+SALTS = 16
 MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december|jan|feb|mar|apr|jun|jul|aug|sept|sep|oct|nov|dec"
 #: What a wording leaves out: tags, entities, link targets, month names, and all that isn't a letter. A month leaves a mark, for lines of months only.
 MONTH_RE = rf"(?<![\p{{L}}\p{{M}}])(?:{MONTHS})(?![\p{{L}}\p{{M}}])"
@@ -119,13 +121,20 @@ def repeated_lines(df: DataFrame, source: str = "firm", url: str = "url", doc_id
 
 def without_repeated_lines(df: DataFrame, source: str = "firm", url: str = "url", doc_id: str = "post_id", body: str = "body_text", out: str = "clean_text", min_urls: int = MIN_URLS, min_share: float = MIN_SHARE) -> DataFrame:
     """df with the column `out`: each text without its source's repeated lines. The confirmed wordings of a source come to its documents as one
-    set, broadcast while all sets together are few and joined by source beyond that; a text is taken apart and put together in its own row."""
-    confirmed = confirmed_lines(keyed(df, source, url, doc_id, body), min_urls, min_share).select("src", "key")
-    sets = materialize(confirmed.groupBy("src").agg(F.collect_set("key").alias("_gone")))  # at most lines-per-document / min_share keys a source
-    n = confirmed.count()
-    side = F.broadcast(sets) if n <= 300_000 else sets
+    set, broadcast while all sets together are few (BROADCAST_ROWS wordings); beyond that each document gets the set of its own lines among them.
+    A text is taken apart and put together in its own row."""
+    keys = keyed(df, source, url, doc_id, body)
+    confirmed = confirmed_lines(keys, min_urls, min_share).select("src", "key")
     base = df.withColumn("_src", F.when(F.col(source).isNotNull(), F.xxhash64(source)))
-    joined = base.join(side.withColumnRenamed("src", "_src"), "_src", "left")
+    if confirmed.count() <= BROADCAST_ROWS:
+        sets = confirmed.groupBy("src").agg(F.collect_set("key").alias("_gone"))  # at most lines-per-document / min_share keys a source
+        joined = base.join(F.broadcast(sets.withColumnRenamed("src", "_src")), "_src", "left")
+    else:
+        # by document: its own lines that are confirmed, found by (source, wording), so a source with many documents is no one task
+        lines = keys.select("doc", "src", F.explode(F.array_distinct("lines")).alias("key")).where("key is not null").distinct()
+        gone = lines.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS))).join(confirmed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["src", "key", "salt"])
+        per_doc = gone.groupBy(F.col("doc").alias(doc_id), F.col("src").alias("_src")).agg(F.collect_set("key").alias("_gone"))
+        joined = base.join(per_doc, [doc_id, "_src"], "left")
     pairs = F.arrays_zip(F.split(F.col(body), "\n", -1).alias("t"), line_keys(F.col(body)).alias("k"))
     kept = F.transform(F.filter(pairs, lambda p: F.coalesce(~F.array_contains(F.col("_gone"), p["k"]), F.lit(True))), lambda p: p["t"])
-    return joined.withColumn(out, F.when(F.col("_gone").isNull(), F.col(body)).otherwise(F.array_join(kept, "\n"))).drop("_src", "_gone")
+    return joined.withColumn(out, F.when(F.col("_gone").isNull(), F.col(body)).otherwise(F.array_join(kept, "\n"))).select(*df.columns, out)
