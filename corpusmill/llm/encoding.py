@@ -242,7 +242,7 @@ class Bigrams:
         plain: dict[str, float] = defaultdict(float)
         for (a, b), n in self.n.items():
             for c, beside in ((a, b), (b, a)):
-                if c >= "\x80":
+                if c >= "\x80" and c in KNOWN:
                     plain[c] += n if beside < "\x80" and beside else -n
         return [c for c, n in sorted(plain.items(), key=lambda x: (-x[1], x[0])) if n > 0]
 

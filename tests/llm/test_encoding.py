@@ -49,6 +49,22 @@ def test_found_and_restored(spark):
     assert restored[300 + len(WAYS)] == plain[0]
 
 
+def test_pages_beyond_the_usual(spark):
+    """Pages that are in no list of this module, but known to Python."""
+    clean = [(text(i), "a") for i in range(300)]
+    ways = [("utf-8", "koi8_r"), ("utf-8", "cp1257"), ("utf-8", "iso8859_2")]
+    plain = [" ".join(random.Random(1000 + k).sample(SENTENCES[:5], 4)) for k in range(len(ways))]
+    docs = corpus(spark, [*clean, *((garble(t, *w), "a") for t, w in zip(plain, ways, strict=True))])
+    assert [r[0] for r in rows(e.garbled(docs))] == [300, 301, 302]
+    restored = {r.doc_id: r.restored for r in e.restore(docs).collect()}
+    assert [restored[300 + k] for k in range(len(ways))] == plain
+
+
+def test_translation():
+    t = e.Translation({"Ã©": "é", "Ã³": "ó", "\x92": "’", "Ã": "à"})
+    assert t.apply("Ã©\x92Ã³Ã x") == "é’óà x" and e.Translation({}).apply("Ã©") == "Ã©"
+
+
 def test_special_rows(spark):
     docs = corpus(spark, [(None, "a"), ("", "a"), ("plain", "a"), ("é" * 50_000, None), ("ok", None)])
     assert rows(e.garbled(docs)) == []
