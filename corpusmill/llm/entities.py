@@ -11,10 +11,10 @@
    registrant answers likewise; messages are exchanged by joins and sums until none moves by TOLERANCE, damped if they swing. Marginals at
    MIN_PROBABILITY are matches.
 
-Everything is by pair, none of a record's pairs is collected anywhere, and message sums are combined before the shuffle. Where two names that agree are
-each carried by so many records that these would make more than HOT_PAIRS pairs, records of known places meet those of the same or nearly the same place
-(`_records_of`), as at other places such a pair is one of hundreds of equals, far from MIN_PROBABILITY; records of unknown places meet all. Beyond a
-hundred times as many pairs those meet the ones only that nobody was found for at their own place.
+Everything is by pair, none of a record's pairs is collected anywhere, and message sums are combined before the shuffle. Which records of two names that
+agree meet is one rule at every size (`_records_of`): those of the same or nearly the same place; those that met nobody there, all others that didn't; those
+of unknown places, all. A pair at other places is worse evidence than any at a record's own place, and one of as many equals as the name has records. More
+than HOT_PAIRS pairs of two names are made in cells of about that many, so no task makes all pairs of a common name.
 
 Defined results: records without any own word match nothing. Null or broken addresses are unknown places. Several versions of a record pool their names
 and places. Exact ties share the probability and thus may match neither. Registrants whose number a firm carries are taken. Rows repeated in the
@@ -37,7 +37,7 @@ from corpusmill.cluster import materialize, sized
 LABELLED, TOLERANCE, MIN_PROBABILITY = 20_000, 1e-3, 0.5
 #: Rounds after which messages are damped, and rounds after which they are used although they still move, with a warning.
 DAMPED, ROUNDS = 20, 200
-#: A blocking key, or a pair of names, that would make more pairs than this is refined.
+#: A blocking key that would make more pairs than this is refined; a pair of names that does is split into cells.
 HOT_PAIRS = 250_000
 #: What is still hot then is compared in so many parts.
 SALTS = 32
@@ -220,28 +220,56 @@ def name_pairs(left: DataFrame, right: DataFrame, hot_pairs: int = HOT_PAIRS) ->
     return materialize(both.select("na", "nb", "wa", "wb").mapInArrow(level, "na bigint, nb bigint, level int").where("level >= 2"))  # one common word is no candidate
 
 
+def _near_places(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(pa, pb): the numbers of known places of both sides, (city, state, place), that are the same or nearly the same."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            ok = pa.array([place_level((ca, ""), (cb, ""))[0] == 2 for ca, cb in zip(x.column(2).to_pylist(), x.column(3).to_pylist(), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([x.column(0).filter(ok), x.column(1).filter(ok)], ["pa", "pb"])
+
+    # places within a letter or two have a spelling with up to two letters left out in common
+    spelt_a, spelt_b = (df.select("city", "state", "place").distinct().select(F.col("place").alias(f"p{i}"), F.col("city").alias(f"c{i}"), F.explode(F.transform(_variants2(F.col("city")), lambda c: F.xxhash64(c, F.col("state")))).alias("key")) for df, i in ((a, "a"), (b, "b")))
+    met = spelt_a.join(spelt_b, "key").select("pa", "pb", "ca", "cb").distinct()
+    return materialize(met.mapInArrow(near, "pa bigint, pb bigint"))
+
+
+def _all_of(pairs: DataFrame, a: DataFrame, b: DataFrame, hot_pairs: int) -> DataFrame:
+    """(a, b, ka, kb, level): the records of (a, ka, na, sa) with those of (b, kb, nb, sb) for each pair of names, where the states sa and sb let them meet.
+    More than hot_pairs of one pair of names are made in cells of about that many, with the same result."""
+    columns = ["a", "b", "ka", "kb", "level"]
+    counts = pairs.join(a.groupBy("na", "sa").agg(F.count("*").alias("ra")), "na").join(b.groupBy("nb", "sb").agg(F.count("*").alias("rb")), "nb")
+    counted = materialize(counts.where("sa = 'lost' or sb = 'lost' or sa = 'open' and sb = 'open'"))
+    is_hot = F.col("ra") * F.col("rb") > hot_pairs
+    usual = counted.where(~is_hot).join(a, ["na", "sa"]).join(b, ["nb", "sb"]).select(*columns)
+    side = max(1, math.isqrt(hot_pairs))
+    hot = counted.where(is_hot).withColumns({"pa": F.ceil(F.col("ra") / side), "pb": F.ceil(F.col("rb") / side)})
+    n = hot.count()
+    if not n:
+        return usual
+    part = lambda i, parts: F.pmod(F.xxhash64(i), F.col(parts))
+    each = lambda parts: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1))
+    cell = ["na", "nb", "sa", "sb", "i", "j"]
+    cells_a = a.join(sized(hot, n), ["na", "sa"]).select("na", "nb", "sa", "sb", "level", "a", "ka", part("a", "pa").alias("i"), each("pb").alias("j"))
+    cells_b = b.join(sized(hot, n), ["nb", "sb"]).select("na", "nb", "sa", "sb", "b", "kb", part("b", "pb").alias("j"), each("pa").alias("i"))
+    return usual.unionByName(cells_a.join(cells_b, cell).select(*columns))
+
+
 def _records_of(pairs: DataFrame, left: DataFrame, right: DataFrame, places_a: DataFrame, places_b: DataFrame, hot_pairs: int) -> DataFrame:
-    """(a, b, ka, kb, level): the records that carry the names of each pair."""
+    """(a, b, ka, kb, level): the records that carry the names of each pair. Records of the same or nearly the same place meet; those that met nobody
+    there meet all others that didn't, at whatever place; those of unknown places meet all. This holds for any number of records."""
     a = left.select(F.col("id").alias("a"), F.col("kind").alias("ka"), F.col("name").alias("na"))
     b = right.select(F.col("id").alias("b"), F.col("kind").alias("kb"), F.col("name").alias("nb"))
-    counts = pairs.join(a.groupBy("na").agg(F.count("*").alias("ra")), "na").join(b.groupBy("nb").agg(F.count("*").alias("rb")), "nb")
-    counted = materialize(counts.withColumn("hot", F.col("ra") * F.col("rb") > hot_pairs).withColumn("most", F.col("ra") * F.col("rb") > 100 * max(1, hot_pairs)).select("na", "nb", "level", "hot", "most"))
-    usual = counted.where("not hot").join(a, "na").join(b, "nb").select("a", "b", "ka", "kb", "level")
-    hot = counted.where("hot").select("na", "nb", "level", "most")
-    if hot.isEmpty():
-        return usual
-    # one place, or one within a letter or two, which then have a spelling with up to two letters left out in common
-    known_a, known_b = materialize(_placed(places_a)), materialize(_placed(places_b))
-    spelt = lambda df, i: df.select(F.col("id").alias(i), F.explode(F.transform(_variants2(F.col("city")), lambda c: F.xxhash64(c, F.col("state")))).alias("place"))
-    at_a, at_b = a.join(spelt(known_a, "a"), "a"), b.join(spelt(known_b, "b"), "b")
-    columns = ["a", "b", "ka", "kb", "level"]
-    placed = materialize(hot.join(at_a, "na").join(at_b, ["nb", "place"]).select(*columns).distinct())
-    lost_a, lost_b = (x.join(known.select(F.col("id").alias(i)).distinct(), i, "left_anti") for x, known, i in ((a, known_a, "a"), (b, known_b, "b")))
-    out = usual.unionByName(placed)
-    for which, few in ((hot.where("not most"), False), (hot.where("most"), True)):
-        open_a, open_b = (x.join(placed.select(i).distinct(), i, "left_anti") if few else x for x, i in ((a, "a"), (b, "b")))
-        out = out.unionByName(which.join(lost_a, "na").join(open_b, "nb").select(*columns)).unionByName(which.join(open_a, "na").join(lost_b, "nb").select(*columns))
-    return out
+    known_a, known_b = (materialize(_placed(df).withColumn("place", F.xxhash64("city", "state"))) for df in (places_a, places_b))
+    at_a, at_b = (known.select(F.col("id").alias(i), F.col("place").alias(f"p{i}")) for known, i in ((known_a, "a"), (known_b, "b")))
+    near = pairs.join(a.join(at_a, "a"), "na").join(sized(_near_places(known_a, known_b)), "pa").join(b.join(at_b, "b"), ["nb", "pb"])
+    near = materialize(near.select("a", "b", "ka", "kb", "level").distinct())
+
+    def stated(x: DataFrame, at: DataFrame, i: str) -> DataFrame:
+        known = at.select(i).distinct().join(near.select(i).distinct().withColumn("_met", F.lit(True)), i, "left").select(i, F.when(F.col("_met"), F.lit("met")).otherwise(F.lit("open")).alias("_state"))
+        return materialize(x.join(known, i, "left").withColumn(f"s{i}", F.coalesce("_state", F.lit("lost"))).drop("_state"))
+
+    return near.unionByName(_all_of(pairs, stated(a, at_a, "a"), stated(b, at_b, "b"), hot_pairs))
 
 
 def candidate_pairs(names_a: DataFrame, names_b: DataFrame, places_a: DataFrame, places_b: DataFrame, hot_pairs: int = HOT_PAIRS) -> DataFrame:

@@ -80,6 +80,25 @@ def test_hot_name_is_split_by_place(spark):
     assert rows(e.matches(m, h).select("slug", "firm_source_id")) == sorted([(f"F{i}", str(i)) for i in range(n)], key=repr)
 
 
+def test_common_names_at_other_places_meet(spark):
+    """A name that 501 records of either side carry, all at other places: as many pairs as the product. 250,000 was the most before they were dropped."""
+    n = 501
+    names = [spark.createDataFrame([(f"{side}{i}", "name", "Arkholt Yeldina") for i in range(n)], "id string, kind string, name string") for side in "ab"]
+    places = [spark.createDataFrame([(f"{side}{i}", city, "PA") for i in range(n)], "id string, city string, state string") for side, city in (("a", "Oxbow"), ("b", "Millrace"))]
+    got = e.candidate_pairs(*names, *places)
+    assert rows(got.groupBy("name", "city", "state").count()) == [(4, 0, 2, n * n)]
+
+
+def test_pairs_are_the_same_for_any_hot_pairs(spark):
+    """Records of a common name at own, other and unknown places: the pairs don't depend on how many are thought too many."""
+    cities = ["Oxbow", "Oxbwo", "Millrace", None, "Sable Creek"]
+    names = [spark.createDataFrame([(f"{side}{i}", "name", ("Arkholt Yeldina", "Yeldina Arkholt")[i % 2]) for i in range(n)], "id string, kind string, name string") for side, n in (("a", 11), ("b", 13))]
+    places = [spark.createDataFrame([(f"{side}{i}", ("Thornbury" if i == 8 and side == "a" else cities[i % (4 if side == "a" else 5)]), "PA") for i in range(n)], "id string, city string, state string") for side, n in (("a", 11), ("b", 13))]
+    whole = rows(e.candidate_pairs(*names, *places))
+    assert {r[5] for r in whole} == {0, 1, 2} and len(whole) == len({r[:2] for r in whole})
+    assert all(rows(e.candidate_pairs(*names, *places, hot_pairs=k)) == whole for k in (0, 9))
+
+
 def test_hot_keys_keep_unknown_and_misspelt_places(spark):
     names_a = [("A", "name", "Smith Johnson"), ("B", "name", "Mordby Ferrlow"), ("C", "name", "Arkholt Yeldina")]
     names_b = [("1", "name", "JOHNSON SMITH LLC"), ("2", "name", "FERRLOW MORDBY"), ("3", "name", "YELDINA ARKHOLT"), ("4", "name", "Mordby Ferrlow Trust")]
