@@ -14,8 +14,8 @@
    slot reaches is decided by naive Bayes on the words of lines that follow a header at once, against lines of main content.
 5. Pages whose content is replaced by errors, notices or filler (residue.py) give no rows.
 
-All counts are taken on all pages. Up to TABLE_ROWS wordings and headers are broadcast; more are joined to their pages, the frequent ones (HOT) by broadcast,
-with the same result. The classifiers' features (forms, words of box lines) are the TABLE_ROWS most frequent ones.
+All counts are taken on all pages. Up to TABLE_ROWS wordings, headers, forms and features of box lines are broadcast; more are joined to their pages, the
+frequent ones (HOT) by broadcast, with the same result.
 
 Defined results: null and empty bodies give no rows; blank lines are never rows. A null url groups by firm, a page with neither stands alone.
 Pages captured again count once per url and each get their rows. Rows repeated in the input give one result; extra columns are ignored.
@@ -27,8 +27,8 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,7 +41,7 @@ from corpusmill.llm import residue
 CHUNK = 48
 #: Cohesion from which a wording of several hosts is furniture, and the chances it must have had to recur; share of the streams from which a token of its own host's wrapper is.
 MIN_COHESION, MIN_CHANCES, MIN_SUPPORT = 0.15, 3, 0.5
-#: Shared wordings have been seen in so many chunks. Up to TABLE_ROWS of them are broadcast; of more, those with a share of 1 / HOT of all lines are.
+#: Shared wordings have been seen in so many chunks. Up to TABLE_ROWS rows of any table are broadcast; of more, those with a share of 1 / HOT of all counts are.
 SHARED, TABLE_ROWS, HOT = 3, 1_000_000, 100_000
 MAX_HEADING_SHARE = 0.4
 #: Forms are for labels, addresses and the like, not for paragraphs.
@@ -293,9 +293,14 @@ def verdict(w: Wording) -> bool:
 @dataclass
 class Tables:
     wording: dict[str, Wording]  # what the expressions of all hosts say; empty if it is joined to the pages
-    form: dict[str, float]  # share of furniture among the wordings of a form
+    form: dict[str, float]  # share of furniture among the wordings of a form; empty if it is joined
     header: dict[str, float] = field(default_factory=dict)  # wordings that open a box
-    box: dict[str, float] = field(default_factory=dict)  # log odds of a word feature
+    box: dict[str, float] = field(default_factory=dict)  # log odds of a word feature; empty if its counts are joined
+    lines: tuple[int, int] = (1, 1)  # of boxes and of main content, and one more
+
+    def odds(self, box: int, main: int) -> float:
+        """The log odds of a feature that so many lines of either kind have."""
+        return math.log((box + 0.5) / self.lines[0]) - math.log((main + 0.5) / self.lines[1])
 
     def furniture(self, known: dict[str, Wording], line: str, support: int, urls: int) -> bool:
         again = support >= 2 and (support - 1) >= MIN_SUPPORT * (urls - 1) and (support >= 3 or not line.endswith((".", "?")))
@@ -329,8 +334,28 @@ def looked_up(pages: DataFrame, table: DataFrame, value: Column, strings: Column
     return both.groupBy("page").agg(F.map_from_entries(F.collect_list(F.struct("line", "v"))).alias("known"))
 
 
+def _listed(pages: DataFrame, strings: Callable[..., set[str]], *columns: str) -> DataFrame:
+    """(page, strings): what `strings` gives of these columns of each page."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            values = zip(*(b.column(i).to_pylist() for i in range(1, b.num_columns)), strict=True)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sorted(strings(*v)) for v in values], pa.list_(pa.string()))], ["page", "strings"])
+
+    return materialize(pages.select("page", *columns).mapInArrow(run, "page bigint, strings array<string>"))
+
+
+def _forms(text: str) -> set[str]:
+    return {form(x) for x in text.split("\n") if x and len(x) <= LONG}
+
+
+def _box_features(text: str, marks: str) -> set[str]:
+    return {f for x, m in zip(text.split("\n"), marks, strict=True) if m == "C" for f in features(x)}
+
+
 def wordings(pages: DataFrame, most: int | None = None) -> tuple[DataFrame, Tables]:
-    """The pages with `known`, null if the tables hold what is known of all wordings, and the tables."""
+    """The pages with `known` and `forms`, null if the tables hold what is known of all wordings and forms, and the tables."""
+    most = TABLE_ROWS if most is None else most
     lines = pages.where("first").select(F.explode(F.arrays_zip(F.split("text", "\n").alias("line"), F.col("support"), F.col("has"))).alias("x"), F.split("heads", "\n").alias("heads"), "urls", "chunk")
     lines = lines.where("x.line <> ''").select(F.col("x.line").alias("line"), F.col("x.support").alias("support"), F.when(F.col("x.has") > 0, 1 / F.col("x.has")).alias("part"), "urls", "chunk", F.array_contains("heads", F.col("x.line")).cast("int").alias("head"))
     # the streams of a chunk that were aligned on a line: each adds its chances to be met again, and how often it was
@@ -340,7 +365,7 @@ def wordings(pages: DataFrame, most: int | None = None) -> tuple[DataFrame, Tabl
     told = [sure, F.col("chances").cast("double"), F.col("heads") / F.col("n"), F.round(F.coalesce("hosts", F.lit(0.0)), 3)]
     shared = token.where(f"chunks > {SHARED - 0.01} and chances > 0").select("line", "n", F.array(*told).alias("v"))
     wording: dict[str, Wording] = {}
-    if shared.count() <= (TABLE_ROWS if most is None else most):
+    if shared.count() <= most:
         wording = {r[0]: tuple(r[1]) for r in shared.select("line", "v").collect()}
         pages = pages.withColumn("known", F.lit(None).cast("map<string,array<double>>"))
     else:
@@ -361,8 +386,13 @@ def wordings(pages: DataFrame, most: int | None = None) -> tuple[DataFrame, Tabl
         yield pa.RecordBatch.from_pydict({"form": pa.array(list(seen), pa.string()), "seen": pa.array(list(seen.values()), pa.int64()), "hit": pa.array([hit[f] for f in seen], pa.int64())})
 
     by_form = token.where("chances >= 2").select("line", F.col("again") / F.col("chances")).mapInArrow(run, "form string, seen bigint, hit bigint").groupBy("form").agg(F.sum("seen").alias("seen"), F.sum("hit").alias("hit"))
-    forms = by_form.where("hit * 2 > seen and seen >= 3").orderBy(F.desc("seen"), "form").limit(TABLE_ROWS).select("form", F.col("hit") / F.col("seen")).collect()
-    return pages, Tables(wording, {r[0]: r[1] for r in forms})
+    by_form = by_form.where("hit * 2 > seen and seen >= 3").select(F.col("form").alias("line"), F.col("seen").alias("n"), (F.col("hit") / F.col("seen")).alias("v"))
+    forms = by_form.limit(most + 1).collect()
+    if len(forms) <= most:
+        return pages.withColumn("forms", F.lit(None).cast("map<string,double>")), Tables(wording, {r[0]: r[2] for r in forms})
+    found = looked_up(_listed(pages, _forms, "text"), materialize(by_form), F.col("v"), F.col("strings")).withColumnRenamed("known", "forms")
+    pages = materialize(pages.join(found, "page", "left"))
+    return pages.withColumn("forms", F.coalesce("forms", F.create_map().cast("map<string,double>"))), Tables(wording, {})
 
 
 # -- boxes --------------------------------------------------------------------------------------------------------------------
@@ -428,13 +458,13 @@ def marked_pages(pages: DataFrame, tables: Tables) -> DataFrame:
         for b in batches:
             all_marks = []
             joined, wholes = b.column(4).to_pylist(), b.column(5).to_pylist()
-            for text, heads, support, urls, known, whole, all_urls, first in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), _lists(b.column(3)), b.column(7).to_pylist(), joined, wholes, b.column(6).to_pylist(), b.column(8).to_pylist(), strict=True):
+            for text, heads, support, urls, known, whole, all_urls, first, forms in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), _lists(b.column(3)), b.column(7).to_pylist(), joined, wholes, b.column(6).to_pylist(), b.column(8).to_pylist(), b.column(9).to_pylist(), strict=True):
                 lines = text.split("\n")
                 known = t.wording if known is None else dict(known)
                 if all_urls is not None:  # the expression of all chunks of the host
                     whole, urls = dict(whole), all_urls
                     support = [whole.get(x, min(s, 2)) for x, s in zip(lines, support, strict=True)]
-                marks = marked(t, known, lines, support, urls, {h for h in heads.split("\n") if h})
+                marks = marked(t if forms is None else replace(t, form=dict(forms)), known, lines, support, urls, {h for h in heads.split("\n") if h})
                 all_marks.append("".join(m or "-" for m in marks))
                 if not first:
                     continue
@@ -464,11 +494,12 @@ def marked_pages(pages: DataFrame, tables: Tables) -> DataFrame:
         k = len(c)
         return pa.RecordBatch.from_pydict({"page": pa.nulls(k, pa.int64()), "text": pa.nulls(k, pa.string()), "marks": pa.nulls(k, pa.string()), "header": pa.array([x[0] for x in c], pa.string()), "x": pa.array([x[1] for x in c], pa.string()), "n": pa.array(list(c.values()), pa.int64())})
 
-    return materialize(pages.select("page", "text", "heads", "support", "known", "whole", "all_urls", "urls", "first").mapInArrow(run, _MARKED))
+    return materialize(pages.select("page", "text", "heads", "support", "known", "whole", "all_urls", "urls", "first", "forms").mapInArrow(run, _MARKED))
 
 
 def learn_boxes(pages: DataFrame, tables: Tables, most: int | None = None) -> DataFrame:
-    """Adds the box headers and the words of box lines to the tables; gives the marked pages with `headers`, which is null if the tables hold all headers."""
+    """Adds the box headers and the words of box lines to the tables; gives the marked pages with `headers` and `box`, which are null if the tables hold all of them."""
+    most = TABLE_ROWS if most is None else most
     counted = materialize(pages.where("page is null").groupBy("header", "x").agg(F.sum("n").alias("n")))
     times = lambda what: F.coalesce(F.sum(F.when(F.col("x") == what, F.col("n"))), F.lit(0))
     followed = counted.where("x in ('after', 'title')").groupBy("header").agg(times("after").alias("after"), times("title").alias("title"))
@@ -476,12 +507,21 @@ def learn_boxes(pages: DataFrame, tables: Tables, most: int | None = None) -> Da
     of_box = counted.where("x not in ('after', 'title')").join(sized(headers.select(F.col("line").alias("header"))), "header").groupBy("x").agg(F.sum("n").alias("box"))
     of_main = counted.where("header = ''").groupBy("x").agg(F.sum("n").alias("main"))
     zero = F.lit(0)
-    both = of_box.join(of_main, "x", "full_outer").select("x", F.coalesce("box", zero).alias("box"), F.coalesce("main", zero).alias("main")).orderBy(F.desc(F.coalesce("box", zero) + F.coalesce("main", zero)), "x").limit(TABLE_ROWS).collect()
+    both = of_box.join(of_main, "x", "full_outer").where("x <> ''").select(F.col("x").alias("line"), F.coalesce("box", zero).alias("box"), F.coalesce("main", zero).alias("main"))
+    words = both.limit(most + 1).collect()
+    whole = len(words) <= most
     # every line has one feature of its length, so those add up to the lines
-    n_box, n_main = (sum(r[k] for r in both if r[0].startswith("n ")) + 1 for k in (1, 2))
-    tables.box = {x: math.log((box + 0.5) / n_box) - math.log((main + 0.5) / n_main) for x, box, main in both if x}
+    lengths = words if whole else both.where("line like 'n %'").collect()  # a few
+    tables.lines = tuple(sum(r[k] for r in lengths if r[0].startswith("n ")) + 1 for k in (1, 2))
     pages = pages.where("page is not null").select("page", "text", "marks")
-    if headers.count() <= (TABLE_ROWS if most is None else most):
+    if whole:
+        tables.box = {x: tables.odds(box, main) for x, box, main in words}
+        pages = pages.withColumn("box", F.lit(None).cast("map<string,array<bigint>>"))
+    else:
+        table = materialize(both.withColumn("n", F.col("box") + F.col("main")))
+        found = looked_up(_listed(pages, _box_features, "text", "marks"), table.withColumn("v", F.array("box", "main")), F.col("v"), F.col("strings")).withColumnRenamed("known", "box")
+        pages = materialize(pages.join(found, "page", "left")).withColumn("box", F.coalesce("box", F.create_map().cast("map<string,array<bigint>>")))
+    if headers.count() <= most:
         tables.header = {r[0]: r[2] for r in headers.collect()}
         return pages.withColumn("headers", F.lit(None).cast("map<string,double>"))
     pages = materialize(pages.join(looked_up(pages, headers, F.col("v"), F.split("text", "\n")).withColumnRenamed("known", "headers"), "page", "left"))
@@ -521,20 +561,21 @@ def main_content(pages: DataFrame, page_id: str = "page_id", most: int | None =
     """(page_id, line_no): each non-blank line of main body. most overrides TABLE_ROWS."""
     with_known, tables = wordings(with_wholes(supported(streams(pages, page_id))), most)
     marks = learn_boxes(marked_pages(with_known, tables), tables, most)
-    slim = Tables({}, {}, tables.header, tables.box)
+    slim = Tables({}, {}, tables.header, tables.box, tables.lines)
     shared = pages.sparkSession.sparkContext.broadcast(slim)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
         for b in batches:
             ids, nos = [], []
-            for page, text, m, headers in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                found = main_lines(t, text.split("\n"), m, t.header if headers is None else dict(headers))
+            for page, text, m, headers, box in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+                own = t if box is None else replace(t, box={x: t.odds(*n) for x, n in box})
+                found = main_lines(own, text.split("\n"), m, t.header if headers is None else dict(headers))
                 ids += [page] * len(found)
                 nos += found
             yield pa.RecordBatch.from_pydict({page_id: pa.array(ids, pa.int64()), "line_no": pa.array(nos, pa.int64())})
 
-    kept = marks.join(replaced_pages(pages, page_id), "page", "left_anti").select("page", "text", "marks", "headers")
+    kept = marks.join(replaced_pages(pages, page_id), "page", "left_anti").select("page", "text", "marks", "headers", "box")
     return kept.mapInArrow(run, f"{page_id} bigint, line_no bigint")
 
 

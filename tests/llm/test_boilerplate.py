@@ -36,6 +36,16 @@ def test_joined_verdicts_are_the_same(spark):
     assert rows(b.main_content(pages(spark, data), most=0)) == rows(b.main_content(pages(spark, data)))
 
 
+def test_forms_and_box_words_beyond_the_tables_count(spark, monkeypatch):
+    """With more forms and features of box lines than may be broadcast, none is left out."""
+    data, _ = site(6, 12)
+    data += [(900 + i, "Lone", f"https://lone{i}.example/", None, f"{a}\nWe met {a} people and told them what the plan is about.") for i, a in enumerate(("Elm", "Ash"))]  # a lone label of the form of all menus
+    whole = rows(b.main_content(pages(spark, data)))
+    for k in (0, 3):
+        monkeypatch.setattr(b, "TABLE_ROWS", k)
+        assert rows(b.main_content(pages(spark, data))) == whole
+
+
 def test_headers_are_learned_from_all_pages(spark):
     data, _ = site(6, 12)
     with_known, tables = b.wordings(b.with_wholes(b.supported(b.streams(pages(spark, data)))))
