@@ -403,18 +403,18 @@ def features(line: str) -> list[str]:
     return [f"1 {words[0]}", f"2 {' '.join(words[:2])}", f"-1 {words[-1]}", f"n {min(len(words), 14) // 2}", f": {':' in line}", f", {',' in line}"]
 
 
-def marked(tables: Tables, known: dict[str, Wording], lines: list[str], support: list[int], urls: int, heads: set[str]) -> list[str]:
-    """For each line: '' blank, F furniture, H heading, C other."""
-    out, settled = [], {}
+def marked(tables: Tables, known: dict[str, Wording], lines: list[str], support: list[int], urls: int, heads: set[str], settled: dict[tuple[str, int, int], bool] | None = None) -> list[str]:
+    """For each line: '' blank, F furniture, H heading, C other. settled keeps verdicts between pages of the same tables and known wordings."""
+    out, settled = [], {} if settled is None else settled
     for x, s in zip(lines, support, strict=True):
         if not x:
             out.append("")
         elif x in heads and known.get(x, (0, 0, 1.0))[2] >= 0.3:
             out.append("H")
         else:
-            if (x, s) not in settled:
-                settled[x, s] = tables.furniture(known, x, s, urls)
-            out.append("F" if settled[x, s] else "H" if x in heads else "C")
+            if (is_furniture := settled.get((x, s, urls))) is None:
+                is_furniture = settled[x, s, urls] = tables.furniture(known, x, s, urls)
+            out.append("F" if is_furniture else "H" if x in heads else "C")
     # a label that is also a heading of this page, or of others: the last one before the content begins is the heading
     start = next((i for i, m in enumerate(out) if m == "C" and lines[i] not in heads), len(out))
     for h in heads:
@@ -455,6 +455,7 @@ def marked_pages(pages: DataFrame, tables: Tables) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
         c: Counter = Counter()
+        settled: dict[tuple[str, int, int], bool] = {}
         for b in batches:
             all_marks = []
             joined, wholes = b.column(4).to_pylist(), b.column(5).to_pylist()
@@ -464,7 +465,10 @@ def marked_pages(pages: DataFrame, tables: Tables) -> DataFrame:
                 if all_urls is not None:  # the expression of all chunks of the host
                     whole, urls = dict(whole), all_urls
                     support = [whole.get(x, min(s, 2)) for x, s in zip(lines, support, strict=True)]
-                marks = marked(t if forms is None else replace(t, form=dict(forms)), known, lines, support, urls, {h for h in heads.split("\n") if h})
+                if len(settled) > 200_000:
+                    settled.clear()
+                same = settled if known is t.wording and forms is None else None
+                marks = marked(t if forms is None else replace(t, form=dict(forms)), known, lines, support, urls, {h for h in heads.split("\n") if h}, same)
                 all_marks.append("".join(m or "-" for m in marks))
                 if not first:
                     continue

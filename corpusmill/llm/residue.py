@@ -210,36 +210,52 @@ def _lists_of(ids: np.ndarray, of: np.ndarray, which: np.ndarray, n: int) -> pa.
     return lists.take(pa.array(which))
 
 
-_WINDOWS = "src string, rec_id bigint, window array<int>, cut string, whole array<int>, word int, n bigint"
+_WINDOWS = "src string, recs array<bigint>, window array<int>, cut string, whole array<int>, word int, n bigint"
 
 
-def candidate_windows(records: DataFrame, exemplars: Pairs = DEFAULT) -> DataFrame:
-    """Written once: (src, rec_id, window, cut, whole) of the windows that could be residue, as word numbers, for parts with the kind of cut and the
-    window they are of; and (word, n) of the records that hold a word, with word -1 for all records."""
+def _spread(of: np.ndarray, codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the places of codes, where each stands for one of n lists that lie one after another: (place in the lists, place in codes) of every item."""
+    sizes = np.bincount(of, minlength=n)
+    starts, each = np.concatenate([[0], np.cumsum(sizes)])[codes], sizes[codes]
+    before = np.cumsum(each) - each
+    at = np.repeat(np.arange(len(codes)), each)
+    return np.arange(len(at)) - before[at] + starts[at], at
+
+
+def _grouped_windows(records: DataFrame, exemplars: Pairs) -> DataFrame:
+    """Written once: what `candidate_windows` gives, with the records of equal windows of a batch in one row: recs. Words are looked up once for equal windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ex = Exemplars(exemplars)
         n_words = len(ex.vocabulary)
-        df, n = np.zeros(n_words + 1, np.int64), 0
+        df, n = np.zeros(n_words, np.int64), 0
 
-        def rows(b: pa.RecordBatch, row: np.ndarray, windows: pa.Array, cut: str | None, whole: pa.Array | None) -> pa.RecordBatch:
-            place, k = pa.array(row), len(row)
+        def rows(src: pa.Array, recs: pa.Array, ends: np.ndarray, windows: pa.Array, cut: str | None, whole: pa.Array | None) -> pa.RecordBatch:
+            k = len(src)
             return pa.RecordBatch.from_pydict({
-                "src": b.column(0).take(place), "rec_id": b.column(1).take(place), "window": windows, "cut": pa.array([cut] * k, pa.string()), "whole": pa.nulls(k, pa.list_(pa.int32())) if whole is None else whole,
+                "src": src, "recs": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), recs), "window": windows, "cut": pa.array([cut] * k, pa.string()), "whole": pa.nulls(k, pa.list_(pa.int32())) if whole is None else whole,
                 "word": pa.nulls(k, pa.int32()), "n": pa.nulls(k, pa.int64()),
             })
 
         for b in batches:
             windows, row = _windows(b.column(2))
-            ids, of = _word_ids(ex, windows)
+            coded = pc.dictionary_encode(windows)
+            codes, m = coded.indices.to_numpy(), len(coded.dictionary)
+            ids, of = _word_ids(ex, coded.dictionary)
             n += b.num_rows
             if not len(ids):
                 continue
-            held = np.zeros((b.num_rows, n_words + 1), bool)
-            held[row[of], ids] = True
+            known = ids < n_words
+            at, place = _spread(of[known], codes, m)
+            held = np.zeros((b.num_rows, n_words), bool)
+            held[row[place], ids[known][at]] = True
             df += held.sum(0)
-            found = np.flatnonzero(_maybe(ex, ids, of, len(row)))
-            yield rows(b, row[found], _lists_of(ids, of, found, len(row)), None, None)
+            found = np.flatnonzero(_maybe(ex, ids, of, m)[codes])
+            src = pc.dictionary_encode(b.column(0), null_encoding="encode")
+            key = codes[found].astype(np.int64) * len(src.dictionary) + src.indices.to_numpy()[row[found]]
+            order = np.argsort(key, kind="stable")
+            groups, starts = np.unique(key[order], return_index=True)
+            yield rows(src.dictionary.take(pa.array(groups % len(src.dictionary))), b.column(1).take(pa.array(row[found][order])), np.append(starts, len(found)), _lists_of(ids, of, groups // len(src.dictionary), m), None, None)
             titles = _lower(_slotted(b.column(3)))
             for wholes, row_of, cuts, numbers in ((windows, row, SENTENCE_CUTS, False), (titles, np.arange(b.num_rows), TITLE_CUTS, True)):
                 for cut, parts, whole in _parts(wholes, cuts, numbers):
@@ -247,15 +263,23 @@ def candidate_windows(records: DataFrame, exemplars: Pairs = DEFAULT) -> DataFra
                     found = np.flatnonzero(_maybe(ex, ids_p, of_p, len(parts)))
                     if len(found):
                         own = whole[found]
+                        place = pa.array(row_of[own])
                         ids_w, of_w = _word_ids(ex, wholes.take(pa.array(own)))
-                        yield rows(b, row_of[own], _lists_of(ids_p, of_p, found, len(parts)), cut, _lists_of(ids_w, of_w, np.arange(len(own)), len(own)))
-        held = np.flatnonzero(df[:n_words])
+                        yield rows(b.column(0).take(place), b.column(1).take(place), np.arange(len(own) + 1), _lists_of(ids_p, of_p, found, len(parts)), cut, _lists_of(ids_w, of_w, np.arange(len(own)), len(own)))
+        held = np.flatnonzero(df)
         words = [*held.tolist(), -1]
         k = len(words)
-        yield pa.RecordBatch.from_pydict({"src": pa.nulls(k, pa.string()), "rec_id": pa.nulls(k, pa.int64()), "window": pa.nulls(k, pa.list_(pa.int32())), "cut": pa.nulls(k, pa.string()), "whole": pa.nulls(k, pa.list_(pa.int32())), "word": pa.array(words, pa.int32()), "n": pa.array([*df[held].tolist(), n], pa.int64())})
+        none = pa.nulls(k, pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_pydict({"src": pa.nulls(k, pa.string()), "recs": pa.nulls(k, pa.list_(pa.int64())), "window": none, "cut": pa.nulls(k, pa.string()), "whole": none, "word": pa.array(words, pa.int32()), "n": pa.array([*df[held].tolist(), n], pa.int64())})
 
     title = F.col("title") if "title" in records.columns else F.lit(None).cast("string").alias("title")
-    return materialize(records.select("src", "rec_id", "text", title).mapInArrow(run, _WINDOWS))
+    return materialize(records.select("src", F.col("rec_id").cast("bigint").alias("rec_id"), "text", title).mapInArrow(run, _WINDOWS))
+
+
+def candidate_windows(records: DataFrame, exemplars: Pairs = DEFAULT) -> DataFrame:
+    """(src, rec_id, window, cut, whole) of the windows that could be residue, as word numbers, for parts with the kind of cut and the
+    window they are of; and (word, n) of the records that hold a word, with word -1 for all records."""
+    return _grouped_windows(records, exemplars).select("src", F.explode_outer("recs").alias("rec_id"), "window", "cut", "whole", "word", "n")
 
 
 class Scorer:
@@ -341,7 +365,7 @@ class Scorer:
 
 def residue_windows(records: DataFrame, exemplars: Pairs = DEFAULT) -> DataFrame:
     """(src, rec_id, kind, coverage) of every residue window of (src, rec_id, text) or (src, rec_id, text, title), where text begins with the title."""
-    windows = candidate_windows(records, exemplars)
+    windows = _grouped_windows(records, exemplars)
     counts = {r[0]: r[1] for r in windows.where("word is not null").groupBy("word").agg(F.sum("n")).collect()}  # at most the vocabulary's size
     df, n = np.array([counts.get(k, 0) for k in range(len(Exemplars(exemplars).vocabulary))], np.float64), int(counts.get(-1, 0))
 
@@ -364,9 +388,11 @@ def residue_windows(records: DataFrame, exemplars: Pairs = DEFAULT) -> DataFrame
                     kinds.append(kind)
                     covers.append(float(cover))
             at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_pydict({"src": b.column(0).take(at), "rec_id": b.column(1).take(at), "kind": pa.array(kinds, pa.string()), "coverage": pa.array(covers, pa.float64())})
+            recs = b.column(1).take(at)
+            of = pc.list_parent_indices(recs)
+            yield pa.RecordBatch.from_pydict({"src": b.column(0).take(at).take(of), "rec_id": recs.flatten(), "kind": pa.array(kinds, pa.string()).take(of), "coverage": pa.array(covers, pa.float64()).take(of)})
 
-    return windows.where("word is null").select("src", "rec_id", "window", "cut", "whole").mapInArrow(run, "src string, rec_id bigint, kind string, coverage double")
+    return windows.where("word is null").select("src", "recs", "window", "cut", "whole").mapInArrow(run, "src string, rec_id bigint, kind string, coverage double")
 
 
 def exemplar_pairs(df: DataFrame, most: int = 5_000) -> Pairs:

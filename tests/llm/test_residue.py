@@ -37,6 +37,15 @@ def test_residue_beside_other_text(spark):
     assert sorted(r[1] for r in rows(residue.residue_records(residue.record_texts(df, "posts", "post_id")))) == [0, 1, 2, 3, 8]
 
 
+def test_equal_windows_are_looked_up_once(spark):
+    """Equal windows of a batch come in one row with all their records, and each record is counted."""
+    df = spark.createDataFrame([("t" if i % 2 else "u", i, "Page not found\nAccess denied\nPage not found", None) for i in range(6)], "src string, rec_id bigint, text string, title string").coalesce(1)
+    got = residue._grouped_windows(df, residue.DEFAULT).where("word is null").collect()
+    assert sorted((r.src, sorted(r.recs)) for r in got) == [("t", [1, 1, 3, 3, 5, 5]), ("t", [1, 3, 5]), ("u", [0, 0, 2, 2, 4, 4]), ("u", [0, 2, 4])]
+    assert len(rows(residue.residue_windows(df))) == 18 and len(rows(residue.residue_records(df))) == 6
+    assert {r.n for r in residue.candidate_windows(df).where("word is not null").collect()} == {6}
+
+
 def test_record_texts(spark):
     df = spark.createDataFrame([(1, None, None, "x"), (2, "Untitled", None, "x")], "post_id int, title string, body_text string, src string")
     assert rows(residue.residue_records(residue.record_texts(df, "posts", "post_id"))) == [("posts", 2)]
