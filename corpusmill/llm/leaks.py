@@ -11,6 +11,8 @@
 4. Hits around which at least MIN_NEAR words agree, at their place or SHIFT words off it, are verified exactly on the whole words around them: matching
    runs are chained in order, and the chain must cover a piece of the item of PIECE_WORDS words with a weighted share of MIN_SIMILARITY. Words and pairs
    of words weigh by their rarity among the items, so a sentence frame that many items share is no match without the item's own names and numbers.
+   Where even all words and pairs of the item that stand anywhere around the hits would not reach that share, nothing is aligned: `reachable` is an upper
+   bound, so this loses no match. Most hits are such frames.
 
 Documents never meet each other and nothing is shuffled but the found pairs. The corpus is read once for each ITEM_BLOCK texts of the query set.
 
@@ -58,13 +60,20 @@ def words(texts: pa.Array) -> pa.Array:
     return pc.split_pattern_regex(fold(texts), r"[^\p{L}\p{N}]+")
 
 
+def _all_words(texts: list[str]) -> Iterator[list[str]]:
+    """The words of each text, folded and split together: expressions are compiled once a call."""
+    return ([w for w in x.as_py() if w] for x in words(pa.array(texts, pa.string())))
+
+
 def _words(text: str) -> list[str]:
-    return [w for w in words(pa.array([text]))[0].as_py() if w]
+    return next(_all_words([text]))
 
 
 def questionless(texts: list[str]) -> list[list[str]]:
     """The words of each of some different texts, without questions that texts share."""
-    cut = [[(_words(x), x.rstrip().endswith("?")) for x in re.split(r"(?<=[.?!])\s+", t)] for t in texts]
+    sentences_of = [re.split(r"(?<=[.?!])\s+", t) for t in texts]
+    split = _all_words([x for sentences in sentences_of for x in sentences])
+    cut = [[(next(split), x.rstrip().endswith("?")) for x in sentences] for sentences in sentences_of]
     seen: Counter = Counter(k for sentences in cut for k in {tuple(ws) for ws, asks in sentences if asks})
     return [[w for ws, asks in sentences if not asks or seen[tuple(ws)] == 1 for w in ws] for sentences in cut]
 
@@ -81,8 +90,9 @@ class Items:
 
 def query_set(items: Iterable[tuple[int, str | None]]) -> Items:
     by_words: dict[str, tuple[str, set[int]]] = {}
-    for i, t in items:
-        if t and (key := " ".join(_words(t))):
+    given = [(i, t) for i, t in items if t]
+    for (i, t), ws in zip(given, _all_words([t for _, t in given]), strict=True):
+        if key := " ".join(ws):
             by_words.setdefault(key, (t, set()))[1].add(i)
     owned = questionless([t for t, _ in by_words.values()])
     df: Counter = Counter(w for ws in owned for w in set(ws))
@@ -203,6 +213,31 @@ def similarity(index: ItemIndex, item: int, doc: list[int]) -> tuple[int, float]
     return best
 
 
+_PAIRS = 1 << 16
+
+
+def _pair_keys(ids: np.ndarray) -> np.ndarray:
+    """A number below _PAIRS for each word with the next one; other pairs may have the same."""
+    return (ids[:-1] * 40_503 + ids[1:]) & (_PAIRS - 1)
+
+
+def reachable(index: ItemIndex, item: int, doc: np.ndarray, has_word: np.ndarray, has_pair: np.ndarray) -> bool:
+    """Whether any chain in a stretch of a document could be accepted: if not, no piece of the item of MIN_WORDS words (or the whole of a shorter one) would
+    have MIN_SIMILARITY if every word and pair that stands anywhere in the stretch matched. has_word (of the vocabulary and one more) and has_pair
+    (_PAIRS) are all false, before and after."""
+    lo, hi = int(index.begins[item]), int(index.begins[item + 1])
+    own, pairs = index.flat[lo:hi], _pair_keys(doc)
+    has_word[doc] = has_pair[pairs] = True
+    word = index.weight[lo:hi] * (has_word[own] - MIN_SIMILARITY)
+    pair = index.pair_weight[lo : hi - 1] * (has_pair[_pair_keys(own)] - MIN_SIMILARITY)
+    has_word[doc] = has_pair[pairs] = False
+    ends = np.cumsum(word)  # what all words up to each one have above MIN_SIMILARITY, with the pairs of these words
+    ends[1:] += np.cumsum(pair)
+    before = ends - word  # what is left out by a piece that begins at each word: also the pair with the word before it
+    n = min(MIN_WORDS, hi - lo)
+    return bool((ends[n - 1 :] - np.minimum.accumulate(before[: hi - lo - n + 1])).max() >= -1e-9)
+
+
 def _near(index: ItemIndex, ids: np.ndarray, rows: np.ndarray, at: np.ndarray, place: np.ndarray, item: np.ndarray) -> np.ndarray:
     """Which hits have MIN_NEAR agreeing words around them; at and place are where the windows begin in the document's and the item's words."""
     along = np.arange(-REACH, WINDOW + REACH)
@@ -220,7 +255,7 @@ def _near(index: ItemIndex, ids: np.ndarray, rows: np.ndarray, at: np.ndarray, p
 
 
 def search_batch(index: ItemIndex, near: HammingIndex, signs: np.ndarray, vocabulary: pa.Array, texts: pa.Array, step: int = 100_000) -> list[tuple[int, int, int, float]]:
-    """(row of the batch, item's place in the index, words, similarity) of all verified leaks."""
+    """(row of the batch, item's place in the index, words, similarity) of all verified leaks, without those that can't be accepted."""
     split = words(texts)
     if isinstance(split, pa.ChunkedArray):
         split = split.combine_chunks()
@@ -248,26 +283,24 @@ def search_batch(index: ItemIndex, near: HammingIndex, signs: np.ndarray, vocabu
                 places[int(rows[s]), e].add(s)
     first = np.searchsorted(rows, np.arange(len(texts)), "left")
     last = np.searchsorted(rows, np.arange(len(texts)), "right")
+    has_word, has_pair = np.zeros(len(vocabulary) + 1, bool), np.zeros(_PAIRS, bool)
     out = []
     for (row, item), hits in places.items():
         own = int(index.begins[item + 1] - index.begins[item])
-        lo = hi = -1
-        best = (0, 0.0)
-        for s in [*sorted(hits), None]:  # stretches of the document around hits that lie close together
-            if s is not None and hi >= 0 and s <= hi:
-                hi = s + own
-                continue
-            if hi >= 0:
-                found = similarity(index, item, ids[max(int(first[row]), lo - own) : min(int(last[row]), hi + WINDOW)].tolist())
-                best = max(best, found, key=lambda x: min(x[0], MIN_WORDS) * x[1])
-            if s is not None:
-                lo, hi = s, s + own
-        out.append((row, item, *best))
+        spans: list[list[int]] = []
+        for s in sorted(hits):  # stretches of the document around hits that lie close together
+            if spans and s <= spans[-1][1]:
+                spans[-1][1] = s + own
+            else:
+                spans.append([s, s + own])
+        stretches = [ids[max(int(first[row]), lo - own) : min(int(last[row]), hi + WINDOW)] for lo, hi in spans]
+        if any(reachable(index, item, x, has_word, has_pair) for x in stretches):
+            out.append((row, item, *max((similarity(index, item, x.tolist()) for x in stretches), key=lambda x: min(x[0], MIN_WORDS) * x[1])))
     return out
 
 
 def leak_scores(docs: DataFrame, index: ItemIndex, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, item_id, words, own, similarity) of all verified hits of one block of items; own is the item's number of words."""
+    """(doc_id, item_id, words, own, similarity) of the verified hits of one block of items that may be accepted; own is the item's number of words."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

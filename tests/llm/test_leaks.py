@@ -117,5 +117,61 @@ def test_recall_on_short_pieces(length, edits):
     assert {(d, i) for d, i, n, share in found if accept(n, share)} == brute and len(brute) >= 0.25 * len(texts)
 
 
+def framed(k):
+    """Items of one sentence frame, with names and numbers of their own."""
+    r = random.Random(k)
+    a, b, c, d, e = (r.choice(WORDS) + r.choice(WORDS) for _ in range(5))
+    return f"Working as a {a} near {b}, {c} inherited a greenhouse appraised at {k}500 from a foster child named {d}. An insurer in {e} offers {k}250 at once or {k} payments beginning on the first Monday in June."
+
+
+def accepted(words, share, own=10**6):
+    return words >= leaks.PIECE_WORDS and share >= leaks.MIN_SIMILARITY or words >= min(leaks.MIN_WORDS, own) and share >= leaks.EXACT_SIMILARITY
+
+
+def searched(index, texts):
+    signs = np.vstack([leaks.signs_of(index.vocabulary), np.zeros((1, 64), np.int8)])
+    return leaks.search_batch(index, leaks.HammingIndex(index.prints), signs, pa.array(index.vocabulary), pa.array(texts))
+
+
+def test_shared_frames_are_not_aligned(monkeypatch):
+    """A text with one item of a frame meets all items of the frame, but is aligned with few others."""
+    known = [(i, framed(i)) for i in range(100, 160)]
+    index = leaks.build_index(leaks.query_set(known))
+    texts = [f"so it goes and {t} and then it goes on" for _, t in known[:20]] + [f"so it goes and {framed(i)} and then it goes on" for i in range(300, 320)]
+    aligned, real = [], leaks.similarity
+    monkeypatch.setattr(leaks, "similarity", lambda ix, item, doc: aligned.append(item) or real(ix, item, doc))
+    found = searched(index, texts)
+    assert {(row, item) for row, item, n, share in found if accepted(n, share)} == {(i, i) for i in range(20)} and len(aligned) <= 40
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**31), st.integers(0, 8), st.integers(5, 60), st.sampled_from([5, 9, 12, 13, 15, 40]))
+def test_reachable_is_an_upper_bound(seed, edits, length, own):
+    """Whatever the alignment of an item with a stretch would accept is reachable."""
+    r = random.Random(seed)
+    known = [(i, framed(i)) for i in range(100, 110)] + [(i, " ".join(item(i).split()[:own])) for i in range(10)]
+    index = leaks.build_index(leaks.query_set(known))
+    number = {w: k for k, w in enumerate(index.vocabulary)}
+    has_word, has_pair = np.zeros(len(number) + 1, bool), np.zeros(leaks._PAIRS, bool)
+    for _, t in known:
+        ws = leaks._words(t)
+        at = r.randrange(0, max(1, len(ws) - length))
+        doc = [number.get(w, len(number)) for w in ["so", "it", *edited(ws[at : at + length], edits, r), "goes", "on"]]
+        for k in range(len(index.ids)):
+            good = accepted(*leaks.similarity(index, k, doc), own=int(index.begins[k + 1] - index.begins[k]))
+            assert not good or leaks.reachable(index, k, np.array(doc), has_word, has_pair)
+    assert not has_word.any() and not has_pair.any()
+
+
+def test_query_set_is_split_together(monkeypatch):
+    """Texts and sentences are split in one call each, with the words of texts split one by one."""
+    texts = [framed(1), "Één «café»: 1,000.\nWas it well-\nknown? Yes! " + QUESTION, "", None, "?", item(2), item(3)]
+    calls, real = [], leaks.words
+    monkeypatch.setattr(leaks, "words", lambda x: calls.append(len(x)) or real(x))
+    got = leaks.query_set(enumerate(texts))
+    assert len(calls) == 2 and got.ids == [[0], [1], [5], [6]]
+    assert got.words == [leaks._words(t.replace(QUESTION, "")) for t in (texts[0], texts[1], texts[5], texts[6])]
+
+
 def test_query(spark, data):
     assert queries.p6_found(spark, data).columns == ["doc_id", "item_id"]
