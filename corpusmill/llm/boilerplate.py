@@ -53,33 +53,46 @@ NAME = "§"
 
 
 _ASIDE = re.compile(r"\S+(?: \S+){0,2}(?:  +\S+(?: \S+){0,2}){3,}")
-_STEPS = (
-    (r"[’‘]", "'"), (r"[“”]", '"'), (r"[–—]", "-"), (r"[\x{a0}\t\r]", " "), (r"[0-9][0-9.,]*", "0"), (r"(?m)(^|\s)[^\s@]+@\S+", r"\1@"),
-)
-_LAST = ((rf"{NAME}(?:[ &-]+{NAME})+", NAME), (r"(?m)^ +| +$", ""))
+_BLANKS, _NAMES = re.compile("  +"), re.compile(rf"{NAME}(?:[ &-]+{NAME})+")
+_CHARS = (("’", "'"), ("‘", "'"), ("“", '"'), ("”", '"'), ("–", "-"), ("—", "-"), ("\xa0", " "))
+_WORDS = re.compile(r"[^\W_]+")
+
+
+def _replaced(texts: pa.Array, which: list[bool], pattern: str, to: str) -> pa.Array:
+    """texts with pattern replaced in some of them, as searching costs more than anything else here."""
+    if not any(which):
+        return texts
+    mask = pa.array(which, pa.bool_())
+    return pc.replace_with_mask(texts, mask, pc.replace_substring_regex(texts.filter(mask), pattern, to))
 
 
 def canonical(texts: pa.Array, firms: list[str | None]) -> pa.Array:
     """Texts with each line in its canonical wording; the number of lines stays."""
-    t = pc.utf8_lower(texts)
-    for pattern, to in _STEPS:
-        t = pc.replace_substring_regex(t, pattern, to)
-    named = []
+    plain = []
+    for x in pc.utf8_lower(texts).to_pylist():
+        if not x.isascii():
+            for c, to in _CHARS:
+                x = x.replace(c, to)
+        plain.append(x.replace("\t", " ").replace("\r", " "))
+    t = pc.replace_substring_regex(pa.array(plain, pa.string()), r"[0-9][0-9.,]*", "0")
+    t = _replaced(t, ["@" in x for x in plain], r"(?m)(^|\s)[^\s@]+@\S+", r"\1@")
+    named, trails = [], []
     for x, firm in zip(t.to_pylist(), firms, strict=True):
         for w in _own_names(firm):  # a firm's own words are the first of its name; what follows says its trade
             x = x.replace(w, NAME)
+        if x.count(NAME) > 1:
+            x = _NAMES.sub(NAME, x)
+        if x[:1] == " " or x[-1:] == " " or "\n " in x or " \n" in x:
+            x = "\n".join([y.strip(" ") for y in x.split("\n")])
+        if "  " in x:  # labels side by side become a list
+            x = "\n".join([(_BLANKS.sub(" | ", y) if _ASIDE.fullmatch(y) else _BLANKS.sub(" ", y)) if "  " in y else y for y in x.split("\n")])
         named.append(x)
-    t = pa.array(named, pa.string())
-    for pattern, to in _LAST:
-        t = pc.replace_substring_regex(t, pattern, to)
-    # labels side by side become a list
-    aside = ["\n".join(re.sub("  +", " | ", y) if "  " in y and _ASIDE.fullmatch(y) else y for y in x.split("\n")) if "  " in x else x for x in t.to_pylist()]
-    t = pc.replace_substring_regex(pa.array(aside, pa.string()), r"  +", " ")
-    return pc.replace_substring_regex(t, r"(?m)^([^\n/›»]{1,30}) ([›»/]) [^\n/›»]{1,30}$", r"\1 \2 *")
+        trails.append(" / " in x or " › " in x or " » " in x)
+    return _replaced(pa.array(named, pa.string()), trails, r"(?m)^([^\n/›»]{1,30}) ([›»/]) [^\n/›»]{1,30}$", r"\1 \2 *")
 
 
 def _own_names(firm: str | None) -> list[str]:
-    return [w for w in re.findall(r"[^\W_]+", (firm or "").lower()) if len(w) > 3][:2]
+    return [w for w in _WORDS.findall((firm or "").lower()) if len(w) > 3][:2]
 
 
 def streams(pages: DataFrame, page_id: str = "page_id", chunk: int = CHUNK) -> DataFrame:
@@ -350,7 +363,7 @@ def _forms(text: str) -> set[str]:
 
 
 def _box_features(text: str, marks: str) -> set[str]:
-    return {f for x, m in zip(text.split("\n"), marks, strict=True) if m == "C" for f in features(x)}
+    return {f for x, m in zip(text.split("\n"), marks, strict=True) if m == "C" and x for f in features(x)}
 
 
 def wordings(pages: DataFrame, most: int | None = None) -> tuple[DataFrame, Tables]:
@@ -398,9 +411,12 @@ def wordings(pages: DataFrame, most: int | None = None) -> tuple[DataFrame, Tabl
 # -- boxes --------------------------------------------------------------------------------------------------------------------
 
 
+_LENGTHS = [f"n {n // 2}" for n in range(1, 15)]
+
+
 def features(line: str) -> list[str]:
-    words = line.split(" ")
-    return [f"1 {words[0]}", f"2 {' '.join(words[:2])}", f"-1 {words[-1]}", f"n {min(len(words), 14) // 2}", f": {':' in line}", f", {',' in line}"]
+    first, blank, rest = line.partition(" ")
+    return ["1 " + first, "2 " + first + blank + rest.partition(" ")[0], "-1 " + line.rpartition(" ")[2], _LENGTHS[min(line.count(" "), 13)], ": True" if ":" in line else ": False", ", True" if "," in line else ", False"]
 
 
 def marked(tables: Tables, known: dict[str, Wording], lines: list[str], support: list[int], urls: int, heads: set[str], settled: dict[tuple[str, int, int], bool] | None = None) -> list[str]:
@@ -417,8 +433,9 @@ def marked(tables: Tables, known: dict[str, Wording], lines: list[str], support:
             out.append("F" if is_furniture else "H" if x in heads else "C")
     # a label that is also a heading of this page, or of others: the last one before the content begins is the heading
     start = next((i for i, m in enumerate(out) if m == "C" and lines[i] not in heads), len(out))
+    shown = {x for x, m in zip(lines, out, strict=True) if m == "H"} if heads else ()
     for h in heads:
-        if h in known and not any(m == "H" and x == h for x, m in zip(lines, out, strict=True)):
+        if h in known and h not in shown:
             at = [i for i, x in enumerate(lines) if x == h and out[i] == "F"]
             if at:
                 out[max((i for i in at if i < start), default=at[0])] = "H"
@@ -433,10 +450,32 @@ def marked(tables: Tables, known: dict[str, Wording], lines: list[str], support:
 
 
 _TEASER = re.compile(r"(?:…|\.\.\.) ?(?:read|learn|see) more$|… ?(?:weiterlesen|lire la suite|leer más)$")
+_TEASER_ENDS = (" more", "weiterlesen", "lire la suite", "leer más")  # of every teaser; lines with other ends needn't be searched
+
+
+def settled_marks(lines: list[str], marks: list[str], known: dict[str, Wording]) -> tuple[str, str]:
+    """(text, marks) for `main_lines`: of the lines of main content, T is a teaser and P a paragraph, which are told here. The text has only the lines
+    that are still needed: furniture that may be a header, as headers are shared wordings, and what may be in its box, up to a heading or a paragraph. The others are empty."""
+    out, kept, open_box = [], [], False
+    for x, m in zip(lines, marks, strict=True):
+        need = False
+        if m == "F":
+            need = x in known
+            open_box = open_box or need
+        elif m:
+            if x.endswith(_TEASER_ENDS) and _TEASER.search(x):
+                m = "T"
+            else:
+                if m == "C" and x.endswith((".", '."')):
+                    m = "P"
+                open_box = need = open_box and m == "C"
+        out.append(m or "-")
+        kept.append(x if need else "")
+    return "\n".join(kept), "".join(out)
 
 
 def _lists(column: pa.Array) -> list[list[int]]:
-    values, offsets = column.flatten().to_pylist(), column.offsets.to_pylist()
+    values, offsets = column.flatten().to_numpy().tolist(), column.offsets.to_numpy().tolist()
     base = offsets[0]
     return [values[a - base : b - base] for a, b in zip(offsets, offsets[1:], strict=False)]
 
@@ -445,7 +484,7 @@ _MARKED = "page bigint, text string, marks string, header string, x string, n bi
 
 
 def marked_pages(pages: DataFrame, tables: Tables) -> DataFrame:
-    """Written once: (page, text, marks) with a letter for each line, '-' where it is blank; and (header, x, n), what boxes are learned from.
+    """Written once: (page, text, marks), what `settled_marks` gives, a letter for each line, '-' where it is blank; and (header, x, n), what boxes are learned from.
 
     For each shared piece of furniture it is counted what follows ('after', 'title'), and for the titles their features; under the header '' stand
     the features of lines of main content: headings and what comes right after them or after a paragraph.
@@ -455,9 +494,10 @@ def marked_pages(pages: DataFrame, tables: Tables) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
         c: Counter = Counter()
+        met: Counter = Counter()  # lines under a header; equal ones are taken apart once
         settled: dict[tuple[str, int, int], bool] = {}
         for b in batches:
-            all_marks = []
+            all_texts, all_marks = [], []
             joined, wholes = b.column(4).to_pylist(), b.column(5).to_pylist()
             for text, heads, support, urls, known, whole, all_urls, first, forms in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), _lists(b.column(3)), b.column(7).to_pylist(), joined, wholes, b.column(6).to_pylist(), b.column(8).to_pylist(), b.column(9).to_pylist(), strict=True):
                 lines = text.split("\n")
@@ -469,7 +509,9 @@ def marked_pages(pages: DataFrame, tables: Tables) -> DataFrame:
                     settled.clear()
                 same = settled if known is t.wording and forms is None else None
                 marks = marked(t if forms is None else replace(t, form=dict(forms)), known, lines, support, urls, {h for h in heads.split("\n") if h}, same)
-                all_marks.append("".join(m or "-" for m in marks))
+                kept, letters = settled_marks(lines, marks, known)
+                all_texts.append(kept)
+                all_marks.append(letters)
                 if not first:
                     continue
                 before, mark = "", ""
@@ -479,21 +521,27 @@ def marked_pages(pages: DataFrame, tables: Tables) -> DataFrame:
                     if mark == "F" and before in known:
                         c[before, "after"] += 1
                         if m == "C" and not x.endswith((".", "!", '."', "…")) and len(x) < 120:
-                            c[before, "title"] += 1
-                            for f in features(x):
-                                c[before, f] += 1
+                            met[before, x] += 1
                     if m == "H" or m == "C" and (mark == "H" or mark == "C" and before.endswith(".")) and not x.endswith((".", "…")):
-                        c["", ""] += 1
-                        for f in features(x):
-                            c["", f] += 1
+                        met["", x] += 1
                     before, mark = x, m
             k = b.num_rows
-            yield pa.RecordBatch.from_pydict({"page": b.column(0), "text": b.column(1), "marks": pa.array(all_marks, pa.string()), "header": pa.nulls(k, pa.string()), "x": pa.nulls(k, pa.string()), "n": pa.nulls(k, pa.int64())})
+            yield pa.RecordBatch.from_pydict({"page": b.column(0), "text": pa.array(all_texts, pa.string()), "marks": pa.array(all_marks, pa.string()), "header": pa.nulls(k, pa.string()), "x": pa.nulls(k, pa.string()), "n": pa.nulls(k, pa.int64())})
+            if len(met) > 20_000:
+                fold(met, c)
             if len(c) > 200_000:
                 yield counted(c)
                 c = Counter()
+        fold(met, c)
         yield counted(c)
 
+    def fold(met: Counter, c: Counter) -> None:
+        for (header, x), n in met.items():
+            c[header, "title" if header else ""] += n
+            for f in features(x):
+                c[header, f] += n
+        met.clear()
+
     def counted(c: Counter) -> pa.RecordBatch:
         k = len(c)
         return pa.RecordBatch.from_pydict({"page": pa.nulls(k, pa.int64()), "text": pa.nulls(k, pa.string()), "marks": pa.nulls(k, pa.string()), "header": pa.array([x[0] for x in c], pa.string()), "x": pa.array([x[1] for x in c], pa.string()), "n": pa.array(list(c.values()), pa.int64())})
@@ -533,25 +581,18 @@ def learn_boxes(pages: DataFrame, tables: Tables, most: int | None = None) -> Da
 
 
 def main_lines(tables: Tables, lines: list[str], marks: str, headers: dict[str, float]) -> list[int]:
-    """The numbers of the lines of main content, from 1."""
+    """The numbers of the lines of main content, from 1; lines and marks are what `settled_marks` gives."""
     out, box = [], 0
-    for i, m in enumerate(marks):
-        if m == "-":
-            continue
-        x = lines[i]
+    for i, m in enumerate(marks, 1):
         if m == "F":
-            if x in headers:
+            if lines[i - 1] in headers:
                 box = 1
-            continue
-        if _TEASER.search(x):
-            continue
-        if box and m == "C" and not x.endswith((".", '."')):
-            odds = sum(tables.box.get(f, 0.0) for f in features(x))
-            if odds > (-3.0 if box == 1 else 0.0):
+        elif m != "-" and m != "T":
+            if box and m == "C" and sum(tables.box.get(f, 0.0) for f in features(lines[i - 1])) > (-3.0 if box == 1 else 0.0):
                 box = 2
                 continue
-        box = 0
-        out.append(i + 1)
+            box = 0
+            out.append(i)
     return out
 
 

@@ -155,9 +155,12 @@ def _solid(flat: pa.Array) -> np.ndarray:
     return pc.and_(pc.not_equal(flat, ""), pc.invert(numeric)).to_numpy(zero_copy_only=False)
 
 
-def _plain(text: str) -> list[str]:
-    flat = _tokens(_lower(pa.array([text]))).flatten()
-    return [w for w, ok in zip(_stems(flat).to_pylist(), _solid(flat), strict=True) if ok]
+def _plain(texts: list[str]) -> list[list[str]]:
+    """The counting words of each text; all are split in one call, as every call compiles its expressions anew."""
+    split = _tokens(_lower(pa.array(texts, pa.string())))
+    flat, ends = split.flatten(), split.offsets.to_pylist()
+    words, solid = _stems(flat).to_pylist(), _solid(flat).tolist()
+    return [[w for w, ok in zip(words[a:b], solid[a:b], strict=True) if ok] for a, b in zip(ends, ends[1:], strict=False)]
 
 
 class Exemplars:
@@ -165,8 +168,8 @@ class Exemplars:
 
     def __init__(self, pairs: Pairs = DEFAULT) -> None:
         self.kind, self.words = [SLOT_KIND], [[SLOT]]
-        for kind, t in pairs:
-            if (ws := _plain(t)) and ws != [SLOT]:
+        for (kind, _), ws in zip(pairs, _plain([t for _, t in pairs]), strict=True):
+            if ws and ws != [SLOT]:
                 self.kind.append(kind)
                 self.words.append(ws)
         self.vocabulary = sorted({w for ws in self.words for w in ws})
@@ -188,12 +191,17 @@ def _batch_ids(ex: Exemplars, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
 
 
 def _word_ids(ex: Exemplars, windows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    split = _tokens(windows)
-    flat = split.flatten()
-    of = np.repeat(np.arange(len(windows)), np.diff(split.offsets.to_numpy()))
+    """(word id, window) of all counting words. What stands between blanks is split into words once for equal ones."""
+    split = pc.split_pattern(windows, " ")
+    coded = pc.dictionary_encode(split.flatten())
+    of_piece = np.repeat(np.arange(len(windows)), np.diff(split.offsets.to_numpy()))
+    words = _tokens(coded.dictionary)
+    flat, m = words.flatten(), len(coded.dictionary)
+    of = np.repeat(np.arange(m), np.diff(words.offsets.to_numpy()))
     ok = _solid(flat)
     ids = pc.fill_null(pc.index_in(_stems(flat), value_set=ex.values), len(ex.vocabulary)).to_numpy(zero_copy_only=False).astype(np.int64)
-    return ids[ok], of[ok]
+    at, place = _spread(of[ok], coded.indices.to_numpy(), m)
+    return ids[ok][at], of_piece[place]
 
 
 def _maybe(ex: Exemplars, ids: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
@@ -373,7 +381,7 @@ def residue_windows(records: DataFrame, exemplars: Pairs = DEFAULT) -> DataFrame
         scorer = Scorer(df, n, Exemplars(exemplars))
         cache: dict[tuple, tuple[str, float]] = {}
         for b in batches:
-            values, offsets, cuts, wholes = b.column(2).flatten().to_pylist(), b.column(2).offsets.to_pylist(), b.column(3).to_pylist(), b.column(4)
+            values, offsets, cuts, wholes = b.column(2).flatten().to_numpy().tolist(), b.column(2).offsets.to_numpy().tolist(), b.column(3).to_pylist(), b.column(4)
             rows, kinds, covers = [], [], []
             for i in range(b.num_rows):
                 window = tuple(values[offsets[i] - offsets[0] : offsets[i + 1] - offsets[0]])

@@ -127,3 +127,24 @@ def test_text(spark):
 
 def test_query(spark, data):
     assert queries.p3_found(spark, data).columns == ["page_id", "line_no"]
+
+
+def test_the_last_step_reads_only_the_lines_it_needs():
+    """Lines that can neither open a box nor stand in one don't travel, and the result is that of all lines."""
+    lines = ["menu", "popular posts", "", "notes on a", "see the file… read more", "it ended.", "more of a", "a title", "foot"]
+    marks = ["F", "F", "", "C", "C", "C", "C", "H", "F"]
+    known = {"popular posts": (1.0, 9.0, 0.0, 3.0), "foot": (1.0, 9.0, 0.0, 3.0)}
+    text, letters = b.settled_marks(lines, marks, known)
+    assert letters == "FF-CTPCHF"
+    assert text.split("\n") == ["", "popular posts", "", "notes on a", "", "", "", "", "foot"]
+    tables = b.Tables({}, {}, {"popular posts": 0.9}, {f: 1.0 for f in b.features("notes on a")})
+    assert b.main_lines(tables, text.split("\n"), letters, tables.header) == [6, 7, 8]
+    assert b.main_lines(tables, lines, letters, tables.header) == [6, 7, 8]
+
+
+def test_canonical_wording():
+    import pyarrow as pa
+
+    texts = ["‘Acme’ & Smith — Fees\t1,250.00 \n ask a.b@c.de or x@y", "Home  About us  Fees  Contact\nBlog / Tax\na / b / c", "Plain text of its own", " İ\xa0“q”\r"]
+    got = b.canonical(pa.array(texts), ["Acme_Smith", None, "Plain", ""]).to_pylist()
+    assert got == ["'§' & § - fees 0\nask @ or @", "home | about us | fees | contact\nblog / *\na / b / c", "§ text of its own", "i \"q\""]
